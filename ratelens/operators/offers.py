@@ -42,6 +42,28 @@ def explode_offers(df: DataFrame, keep: Sequence[str], names: str = "page.names"
     )
 
 
+def request_rows(df: DataFrame, keep: Sequence[str], names: str = "page.names",
+                 prices: str = "page.prices", status_col: str = "status") -> DataFrame:
+    """Seller rows of requests with offers and one row per request that is
+    not available or asks for contact, in a single pass (one generator, no
+    union, so the input is computed once).  Broken requests emit nothing."""
+    st = F.col(status_col)
+    pair_type = "array<struct<n:string,p:string>>"
+    pairs = pair_by_index(F.col(names), F.col(prices), "n", "p")
+    single = F.array(F.struct(F.lit(None).cast("string").alias("n"),
+                              F.lit(None).cast("string").alias("p")))
+    gen = (F.when(st == OFFERS, pairs)
+           .when(st.isin(NOT_AVAILABLE, CONTACT), single.cast(pair_type))
+           .otherwise(F.array().cast(pair_type)))
+    cols = list(keep) if status_col in keep else [*keep, status_col]
+    return df.select(*cols, F.posexplode(gen).alias("_pos", "_pair")).select(
+        *cols,
+        F.when(st == OFFERS, F.col("_pos") + 1).cast("int").alias("scrape_position"),
+        F.col("_pair.n").alias("agent"),
+        F.col("_pair.p").alias("scrape_base_price"),
+    )
+
+
 def offer_columns(df: DataFrame, run_date: str, hotel: str = "hotel",
                   price: str = "scrape_base_price") -> DataFrame:
     """Typed and cleaned columns of an offer row."""

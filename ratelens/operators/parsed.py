@@ -41,6 +41,12 @@ _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 _INVISIBLE = frozenset(("script", "style", "template", "noscript", "head", "title"))
 _SPACES = re.compile(r"[ \t\r\f\v ]+")
+# A start tag of one of these closes an open <p> (HTML's implied end tag);
+# the search for that <p> stops at these scope boundaries.
+_CLOSES_P = frozenset(
+    "address article aside blockquote details div dl fieldset figcaption figure footer "
+    "form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
+_P_SCOPE = frozenset("applet button caption html marquee object table td th template".split())
 
 
 @dataclass(frozen=True)
@@ -175,6 +181,10 @@ class _Page(HTMLParser):
                 self.in_found = True
             if self.check_out is not None and label == self.check_out:
                 self.out_found = True
+        if tag in _CLOSES_P:
+            self._implied_end("p")
+        if tag == "li":
+            self._implied_end("li", stop=frozenset(("ul", "ol")) | _P_SCOPE)
         if tag in _VOID:
             if tag == "br":
                 for buf in self.captures:
@@ -191,6 +201,15 @@ class _Page(HTMLParser):
                 buf.append("\n")
         self.stack.append((tag, opened, invisible))
 
+    def _implied_end(self, tag, stop=_P_SCOPE):
+        for i in range(len(self.stack) - 1, -1, -1):
+            t = self.stack[i][0]
+            if t == tag:
+                self.handle_endtag(tag)
+                return
+            if t in stop:
+                return
+
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in _VOID:

@@ -70,6 +70,17 @@ na_rows AS (
 
 _PRICE_TEXT = "replace(replace('$' || format('{:,.2f}', l_extendedprice), '$', ''), ',', '')"
 
+_PAGE_RUN = f"""WITH {_PAGES},
+r AS (
+  SELECT *, CAST(page_id AS VARCHAR) AS request_id,
+    replace(strip_accents(regexp_extract_all(html, '<title>([^<]*)</title>', 1)[1]), 'ß', 'ss') AS hotel
+  FROM c)
+"""
+_NULLS = ("CAST(NULL AS VARCHAR) AS check_in, CAST(NULL AS VARCHAR) AS check_out, "
+          "CAST(NULL AS VARCHAR) AS check_in_search, CAST(NULL AS VARCHAR) AS check_out_search, "
+          "CAST(NULL AS VARCHAR) AS listed_base_price, CAST(NULL AS VARCHAR) AS nights")
+_CLEAN = "replace(replace(p[i], '$', ''), ',', '')"
+
 ORACLE_SQL: dict[str, str] = {
     "offers": f"""WITH {_PAGES}
 SELECT page_id, CAST(i AS INTEGER) AS scrape_position, n[i] AS agent, p[i] AS scrape_base_price
@@ -205,4 +216,22 @@ FROM (
   LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey) c
     ON c.l_orderkey = o.o_orderkey)
 GROUP BY status""",
+
+    "page_rate_shop": f"""{_PAGE_RUN}
+SELECT request_id, request_id AS hotel_id, hotel, n[i] AS agent,
+  CAST(i AS INTEGER) AS scrape_position, DATE '2024-01-15' AS scrape_date, {_NULLS},
+  {_CLEAN} AS scrape_base_price, TRY_CAST({_CLEAN} AS DECIMAL(12,2)) AS scrape_base_price_num,
+  status
+FROM r, unnest(range(1, len(n) + 1)) AS t(i) WHERE status = 'offers'
+UNION ALL
+SELECT request_id, request_id AS hotel_id, hotel, CAST(NULL AS VARCHAR) AS agent,
+  CAST(NULL AS INTEGER) AS scrape_position, DATE '2024-01-15' AS scrape_date, {_NULLS},
+  CAST(NULL AS VARCHAR) AS scrape_base_price, CAST(NULL AS DECIMAL(12,2)) AS scrape_base_price_num,
+  status
+FROM r WHERE status IN ('not_available', 'contact')""",
+
+    "page_rate_shop_summary": f"""WITH {_PAGES}
+SELECT status, COUNT(*) AS requests,
+  CAST(SUM(CASE WHEN status = 'offers' THEN len(n) ELSE 0 END) AS BIGINT) AS offers
+FROM c GROUP BY status""",
 }

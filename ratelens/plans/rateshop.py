@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.text import clean_price, price_decimal, transliterate
 from ratelens.operators.extract import NativeLayout, ParsedLayout, extract_native
-from ratelens.operators.offers import explode_offers, merge_outcomes, outcome_rows
+from ratelens.operators.offers import request_rows
 from ratelens.operators.outcome import BROKEN, classify
 from ratelens.operators.parsed import extract_parsed
 from ratelens.operators.summary import run_summary
@@ -120,12 +120,10 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
         "check_out_search", searched_out).withColumn("hotel", transliterate("hotel"))
     keep = ["request_id", "hotel_id", "hotel", "check_in", "check_out", "check_in_search",
             "check_out_search", "listed_base_price", "nights", "status"]
-    sellers = explode_offers(with_search, keep=keep)
-    sellers = sellers.withColumn("scrape_base_price_num", price_decimal("scrape_base_price")) \
+    rows = request_rows(with_search, keep=keep)
+    offers = rows.withColumn("scrape_base_price_num", price_decimal("scrape_base_price")) \
         .withColumn("scrape_base_price", clean_price("scrape_base_price")) \
-        .withColumn("scrape_date", F.lit(run_date).cast("date"))
-    others = outcome_rows(with_search, [k for k in keep if k != "status"], run_date)
-    offers = merge_outcomes(sellers, others).select(*OFFER_COLS)
+        .withColumn("scrape_date", F.lit(run_date).cast("date")).select(*OFFER_COLS)
 
     reattempt = outcomes.filter(F.col("status") == BROKEN).select(
         "request_id", "hotel_id", transliterate("hotel").alias("hotel"), "check_in",

@@ -24,7 +24,7 @@ from ratelens.functions.text import (
     search_key,
     transliterate,
 )
-from ratelens.operators.extract import NativeLayout, Test, extract_native
+from ratelens.operators.extract import NativeLayout, ParsedLayout, Test, extract_native
 from ratelens.operators.joins import requests_without, with_offers
 from ratelens.operators.numbering import row_number_within, with_chunk_id
 from ratelens.operators.offers import (
@@ -35,6 +35,7 @@ from ratelens.operators.offers import (
 )
 from ratelens.operators.outcome import NOT_AVAILABLE, OFFERS, classify
 from ratelens.operators.summary import list_sizes, run_summary
+from ratelens.plans.rateshop import run_rate_shop
 from ratelens.sources.tables import read_table
 
 # Markup of the driver's stand-in pages.
@@ -69,6 +70,12 @@ FALLBACK_LAYOUTS = (
                  present=(Test(r"<h1>[^<]*</h1>"),)),
 )
 
+# Parser rules for the same pages: links are sellers, paragraphs are prices.
+PARSED_PAGE_LAYOUT = ParsedLayout(layout=1, names="a", prices="p", listing=("b",))
+
+TITLE = r'<title>([^<]*)</title>'
+HOST = r'://([^/?#]+)'
+
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
@@ -340,6 +347,50 @@ def q_run_summary(spark, sf_dir):
     return run_summary(outcomes)
 
 
+# ---- the whole run over the captured pages ---------------------------------
+
+
+def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per captured page: title as hotel, host as city."""
+    pages = read_table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("string")
+    return pages.select(
+        F.col("page_id").cast("string").alias("request_id"),
+        F.col("page_id").cast("string").alias("hotel_id"),
+        extract_first("html", TITLE).alias("hotel"),
+        F.regexp_extract("url", HOST, 1).alias("city"),
+        none.alias("check_in"), none.alias("check_out"), none.alias("nights"),
+        none.alias("listed_base_price"),
+    )
+
+
+def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select(F.col("page_id").cast("string").alias("request_id"), "page_id", "url",
+                        "html", F.lit(None).cast("timestamp_ntz").alias("captured_at"))
+
+
+def q_page_rate_shop(spark, sf_dir):
+    """The whole run on the pages with native rules: offers and outcome rows."""
+    out = run_rate_shop(page_requests(spark, sf_dir), page_captures(spark, sf_dir),
+                        [STANDIN_LAYOUT], RUN_DATE, cut_lineage=False)
+    return out.offers
+
+
+def q_page_rate_shop_summary(spark, sf_dir):
+    """Coverage of the whole run: requests and offers per outcome."""
+    out = run_rate_shop(page_requests(spark, sf_dir), page_captures(spark, sf_dir),
+                        [STANDIN_LAYOUT], RUN_DATE, cut_lineage=False)
+    return out.summary
+
+
+def q_page_rate_shop_parsed(spark, sf_dir):
+    """The whole run with the HTML parser rules (nested markup, entities)."""
+    out = run_rate_shop(page_requests(spark, sf_dir), page_captures(spark, sf_dir),
+                        [PARSED_PAGE_LAYOUT], RUN_DATE, cut_lineage=False)
+    return out.offers
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offers": q_offers,
     "page_names": q_page_names,
@@ -366,4 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentinel_rows": q_sentinel_rows,
     "merge_outcomes": q_merge_outcomes,
     "run_summary": q_run_summary,
+    "page_rate_shop": q_page_rate_shop,
+    "page_rate_shop_summary": q_page_rate_shop_summary,
+    "page_rate_shop_parsed": q_page_rate_shop_parsed,
 }
