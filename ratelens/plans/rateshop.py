@@ -81,11 +81,14 @@ def latest_capture(extracted: DataFrame) -> DataFrame:
     ).select("request_id", "c.*")
 
 
-def classify_requests(requests: DataFrame, captures: DataFrame) -> DataFrame:
-    """Every request once, with ``status``, ``reason``, ``n_offers``."""
+def classify_requests(requests: DataFrame, captures: DataFrame,
+                      captured_only: bool = False) -> DataFrame:
+    """Every request once, with ``status``, ``reason``, ``n_offers``
+    (only the requests that have a capture when ``captured_only``)."""
     req = requests.select(*REQUEST_COLS, "malformed") if "malformed" in requests.columns \
         else requests.select(*REQUEST_COLS, F.lit(False).alias("malformed"))
-    joined = req.join(captures.withColumn("_has", F.lit(True)), "request_id", "left")
+    how = "inner" if captured_only else "left"
+    joined = req.join(captures.withColumn("_has", F.lit(True)), "request_id", how)
     classified = classify(joined, page="page", html=None)
     fixed_reason = (
         F.when(F.col("malformed"), F.lit("malformed_row"))
@@ -106,10 +109,12 @@ def classify_requests(requests: DataFrame, captures: DataFrame) -> DataFrame:
 
 def run_rate_shop(requests: DataFrame, captures: DataFrame,
                   layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
-                  run_date: str, cut_lineage: bool = True) -> RunOutputs:
-    """The whole run; nothing is computed until an output is written."""
+                  run_date: str, cut_lineage: bool = True,
+                  captured_only: bool = False) -> RunOutputs:
+    """The whole run; nothing is computed until an output is written
+    (except the checkpoint of the per-request outcomes when ``cut_lineage``)."""
     extracted = extract_captures(captures, layouts)
-    outcomes = classify_requests(requests, latest_capture(extracted))
+    outcomes = classify_requests(requests, latest_capture(extracted), captured_only)
     if cut_lineage:
         checkpoint_dir(outcomes.sparkSession)
         outcomes = outcomes.checkpoint(eager=True)
