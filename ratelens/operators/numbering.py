@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 _BUCKET = "_rl_bucket"
 _CARRY = "_rl_carry"
 
-# Rows per bucket aimed at, and the most buckets the CASE tree may hold.
-ROWS_PER_BUCKET = 200_000
+# Rows per bucket aimed at (about what one task numbers comfortably; smaller
+# inputs get one bucket, i.e. a plain window), and the most buckets the CASE
+# tree may hold.
+ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 1024
 SAMPLES_PER_BUCKET = 64
 

@@ -31,6 +31,7 @@ from ratelens.operators.extract import NativeLayout, ParsedLayout, extract_nativ
 from ratelens.operators.offers import request_rows
 from ratelens.operators.outcome import BROKEN, classify
 from ratelens.operators.parsed import extract_parsed
+from ratelens.operators.partitioning import spread
 from ratelens.operators.summary import run_summary
 from ratelens.session import checkpoint_dir
 
@@ -55,6 +56,9 @@ class RunOutputs:
 def extract_captures(captures: DataFrame,
                      layouts: Sequence[NativeLayout] | Sequence[ParsedLayout]) -> DataFrame:
     """Per capture: ``request_id, captured_at, page, html_state`` (no html)."""
+    key = ["page_id"] if "page_id" in captures.columns else ["request_id", "captured_at"]
+    if not captures.isStreaming:
+        captures = spread(captures, key)
     if all(isinstance(x, NativeLayout) for x in layouts):
         pages = extract_native(captures, layouts)  # type: ignore[arg-type]
     elif all(isinstance(x, ParsedLayout) for x in layouts):

@@ -34,6 +34,7 @@ from ratelens.operators.offers import (
     outcome_rows,
 )
 from ratelens.operators.outcome import NOT_AVAILABLE, OFFERS, classify
+from ratelens.operators.partitioning import spread
 from ratelens.operators.summary import list_sizes, run_summary
 from ratelens.plans.rateshop import run_rate_shop
 from ratelens.sources.tables import read_table
@@ -79,8 +80,13 @@ HOST = r'://([^/?#]+)'
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
 
 
+def _page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captured pages, spread over the cores before per-page work."""
+    return spread(read_table(spark, sf_dir, "pages"), ["page_id"])
+
+
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_native(read_table(spark, sf_dir, "pages"), [STANDIN_LAYOUT])
+    return extract_native(_page_table(spark, sf_dir), [STANDIN_LAYOUT])
 
 
 def _classified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +130,7 @@ def q_distinct_names(spark, sf_dir):
 
 def q_page_scoped_items(spark, sf_dir):
     """Links inside the navigation container only."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     scoped = extract_all(region("html", "<nav>", "</nav>"), HREF)
     return pages.select("page_id", F.posexplode(scoped).alias("pos", "href")).select(
         "page_id", (F.col("pos") + 1).cast("int").alias("pos"), "href")
@@ -132,7 +138,7 @@ def q_page_scoped_items(spark, sf_dir):
 
 def q_nth_section(spark, sf_dir):
     """Fifth paragraph of each page, NULL when there are fewer."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     return pages.select("page_id", nth(extract_all("html", PARAGRAPH), 4).alias("section"))
 
 
@@ -148,7 +154,7 @@ def q_page_layout(spark, sf_dir):
 
 def q_layout_fallback(spark, sf_dir):
     """First layout present supplies the lists."""
-    pages = extract_native(read_table(spark, sf_dir, "pages"), FALLBACK_LAYOUTS)
+    pages = extract_native(_page_table(spark, sf_dir), FALLBACK_LAYOUTS)
     return pages.select(
         "page_id",
         F.col("page.layout").alias("layout"),
@@ -159,7 +165,7 @@ def q_layout_fallback(spark, sf_dir):
 
 def q_attr_match(spark, sf_dir):
     """Row-parameterised attribute test: is the requested language on the page."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     lang = F.element_at(F.array(*[F.lit(x) for x in LANGS]),
                         (F.col("page_id") % len(LANGS) + 1).cast("int"))
     return pages.select(
@@ -170,7 +176,7 @@ def q_attr_match(spark, sf_dir):
 
 def q_searched_dates(spark, sf_dir):
     """Searched value read back from the capture, else the default."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     found = extract_first("url", PAGE_PARAM)
     return pages.select(
         "page_id",
@@ -181,7 +187,7 @@ def q_searched_dates(spark, sf_dir):
 
 def q_drop_blanks(spark, sf_dir):
     """All text nodes, blanks removed, order kept."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     texts = drop_blanks(extract_all("html", TEXT_NODE))
     return pages.select("page_id", F.posexplode(texts).alias("i", "l")).select(
         "page_id", (F.col("i") + 1).cast("int").alias("i"), "l")
@@ -198,7 +204,7 @@ def q_newline_fold(spark, sf_dir):
 
 def q_transliterate(spark, sf_dir):
     """ASCII transliteration of Latin text."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents"), ["doc_id"])
     return docs.select("doc_id", transliterate("text").alias("t"))
 
 
@@ -212,7 +218,7 @@ def q_search_key(spark, sf_dir):
 
 def q_price_clean(spark, sf_dir):
     """Price text ``$1,234.56`` cleaned to ``1234.56`` and typed."""
-    li = read_table(spark, sf_dir, "lineitem")
+    li = spread(read_table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"])
     text = F.concat(F.lit("$"), F.format_number("l_extendedprice", 2))
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey",
@@ -352,7 +358,7 @@ def q_run_summary(spark, sf_dir):
 
 def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per captured page: title as hotel, host as city."""
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     none = F.lit(None).cast("string")
     return pages.select(
         F.col("page_id").cast("string").alias("request_id"),
@@ -365,7 +371,7 @@ def page_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read_table(spark, sf_dir, "pages")
+    pages = _page_table(spark, sf_dir)
     return pages.select(F.col("page_id").cast("string").alias("request_id"), "page_id", "url",
                         "html", F.lit(None).cast("timestamp_ntz").alias("captured_at"))
 
