@@ -43,15 +43,29 @@ def explode_offers(df: DataFrame, keep: Sequence[str], names: str = "page.names"
 
 
 def request_rows(df: DataFrame, keep: Sequence[str], names: str = "page.names",
-                 prices: str = "page.prices", status_col: str = "status") -> DataFrame:
+                 prices: str = "page.prices", status_col: str = "status",
+                 extras: str | None = None) -> DataFrame:
     """Seller rows of requests with offers and one row per request that is
     not available or asks for contact, in a single pass (one generator, no
-    union, so the input is computed once).  Broken requests emit nothing."""
+    union, so the input is computed once).  Broken requests emit nothing.
+
+    With ``extras`` (an array of per-seller maps aligned with the sellers),
+    each seller row also gets its map as ``extra`` (NULL when missing)."""
     st = F.col(status_col)
-    pair_type = "array<struct<n:string,p:string>>"
-    pairs = pair_by_index(F.col(names), F.col(prices), "n", "p")
-    single = F.array(F.struct(F.lit(None).cast("string").alias("n"),
-                              F.lit(None).cast("string").alias("p")))
+    ncol, pcol = F.col(names), F.col(prices)
+    if extras is None:
+        pair_type = "array<struct<n:string,p:string>>"
+        pairs = pair_by_index(ncol, pcol, "n", "p")
+        single = F.array(F.struct(F.lit(None).cast("string").alias("n"),
+                                  F.lit(None).cast("string").alias("p")))
+    else:
+        pair_type = "array<struct<n:string,p:string,e:map<string,string>>>"
+        ecol = F.col(extras)
+        pairs = F.transform(ncol, lambda x, i: F.struct(
+            x.alias("n"), F.get(pcol, i).alias("p"), F.get(ecol, i).alias("e")))
+        single = F.array(F.struct(F.lit(None).cast("string").alias("n"),
+                                  F.lit(None).cast("string").alias("p"),
+                                  F.lit(None).cast("map<string,string>").alias("e")))
     gen = (F.when(st == OFFERS, pairs)
            .when(st.isin(NOT_AVAILABLE, CONTACT), single.cast(pair_type))
            .otherwise(F.array().cast(pair_type)))
@@ -61,6 +75,7 @@ def request_rows(df: DataFrame, keep: Sequence[str], names: str = "page.names",
         F.when(st == OFFERS, F.col("_pos") + 1).cast("int").alias("scrape_position"),
         F.col("_pair.n").alias("agent"),
         F.col("_pair.p").alias("scrape_base_price"),
+        *([F.col("_pair.e").alias("extra")] if extras is not None else []),
     )
 
 

@@ -41,6 +41,12 @@ OFFER_COLS = ["request_id", "hotel_id", "hotel", "agent", "scrape_position", "sc
               "check_in", "check_out", "check_in_search", "check_out_search",
               "listed_base_price", "scrape_base_price", "scrape_base_price_num", "nights",
               "status"]
+# Manifest fee fields and their output names (optional extra price columns).
+EXTRA_REQUEST_COLS = {"average_price": "hoken_average_price_fees",
+                      "total_price": "hoken_total_price", "fees": "fees"}
+# Per-seller block fields of the page and their output names.
+EXTRA_PAGE_FIELDS = {"average_price": "scrape_average_price_fees",
+                     "total_price": "scrape_total_price"}
 REATTEMPT_COLS = ["request_id", "hotel_id", "hotel", "check_in", "check_out", "city",
                   "listed_base_price", "nights", "reason"]
 
@@ -86,11 +92,13 @@ def latest_capture(extracted: DataFrame) -> DataFrame:
 
 
 def classify_requests(requests: DataFrame, captures: DataFrame,
-                      captured_only: bool = False) -> DataFrame:
+                      captured_only: bool = False, extra_cols: Sequence[str] = ()) -> DataFrame:
     """Every request once, with ``status``, ``reason``, ``n_offers``
     (only the requests that have a capture when ``captured_only``)."""
-    req = requests.select(*REQUEST_COLS, "malformed") if "malformed" in requests.columns \
-        else requests.select(*REQUEST_COLS, F.lit(False).alias("malformed"))
+    extra = [F.col(c) if c in requests.columns else F.lit(None).cast("string").alias(c)
+             for c in extra_cols]
+    malformed = "malformed" if "malformed" in requests.columns else F.lit(False).alias("malformed")
+    req = requests.select(*REQUEST_COLS, *extra, malformed)
     how = "inner" if captured_only else "left"
     joined = req.join(captures.withColumn("_has", F.lit(True)), "request_id", how)
     classified = classify(joined, page="page", html=None)
@@ -100,7 +108,7 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
         .when(F.col("html_state").isNotNull(), F.col("html_state"))
     )
     return classified.select(
-        *REQUEST_COLS, "page_id", "captured_at", "page",
+        *REQUEST_COLS, *extra_cols, "page_id", "captured_at", "page",
         F.when(F.col("malformed") | F.col("_has").isNull(), F.lit(BROKEN))
         .when(F.col("html_state").isNotNull(), F.lit(BROKEN))
         .otherwise(F.col("status")).alias("status"),
@@ -114,11 +122,15 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
 def run_rate_shop(requests: DataFrame, captures: DataFrame,
                   layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
                   run_date: str, cut_lineage: bool = True,
-                  captured_only: bool = False) -> RunOutputs:
+                  captured_only: bool = False, extra_prices: bool = False) -> RunOutputs:
     """The whole run; nothing is computed until an output is written
-    (except the checkpoint of the per-request outcomes when ``cut_lineage``)."""
+    (except the checkpoint of the per-request outcomes when ``cut_lineage``).
+
+    ``extra_prices`` adds the manifest's fee fields and each seller's
+    average-with-fees and total price read from its block on the page."""
     extracted = extract_captures(captures, layouts)
-    outcomes = classify_requests(requests, latest_capture(extracted), captured_only)
+    extra_cols = list(EXTRA_REQUEST_COLS) if extra_prices else []
+    outcomes = classify_requests(requests, latest_capture(extracted), captured_only, extra_cols)
     if cut_lineage:
         checkpoint_dir(outcomes.sparkSession)
         outcomes = outcomes.checkpoint(eager=True)
@@ -129,10 +141,21 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
         "check_out_search", searched_out).withColumn("hotel", transliterate("hotel"))
     keep = ["request_id", "hotel_id", "hotel", "check_in", "check_out", "check_in_search",
             "check_out_search", "listed_base_price", "nights", "status"]
-    rows = request_rows(with_search, keep=keep)
+    has_extras = extra_prices and "extras" in outcomes.schema["page"].dataType.names
+    rows = request_rows(with_search, keep=keep + extra_cols,
+                        extras="page.extras" if has_extras else None)
     offers = rows.withColumn("scrape_base_price_num", price_decimal("scrape_base_price")) \
         .withColumn("scrape_base_price", clean_price("scrape_base_price")) \
-        .withColumn("scrape_date", F.lit(run_date).cast("date")).select(*OFFER_COLS)
+        .withColumn("scrape_date", F.lit(run_date).cast("date"))
+    if extra_prices:
+        fields = []
+        for key, name in EXTRA_PAGE_FIELDS.items():
+            text = F.col("extra")[key] if has_extras else F.lit(None).cast("string")
+            fields += [clean_price(text).alias(name), price_decimal(text).alias(name + "_num")]
+        offers = offers.select(
+            *OFFER_COLS, *[F.col(c).alias(n) for c, n in EXTRA_REQUEST_COLS.items()], *fields)
+    else:
+        offers = offers.select(*OFFER_COLS)
 
     reattempt = outcomes.filter(F.col("status") == BROKEN).select(
         "request_id", "hotel_id", transliterate("hotel").alias("hotel"), "check_in",

@@ -17,6 +17,7 @@ run replaces its partial output instead of duplicating it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ratelens.operators.offers import legacy_projection
 from ratelens.plans.rateshop import RunOutputs
@@ -36,8 +37,11 @@ def read_csv(spark, path: str, schema) -> DataFrame:
 
 
 def write_outputs(outputs: RunOutputs, out_dir: str, run_date: str,
-                  legacy_csv: bool = True) -> dict[str, str]:
-    """Write all outputs of one run; returns the paths written."""
+                  legacy_csv: bool = True, ordered: bool = False) -> dict[str, str]:
+    """Write all outputs of one run; returns the paths written.
+
+    ``ordered`` sorts the legacy CSV by request and position (a range
+    shuffle; the files are then in that order one after the other)."""
     base = out_dir.rstrip("/")
     paths: dict[str, str] = {}
     offers = outputs.offers
@@ -46,7 +50,9 @@ def write_outputs(outputs: RunOutputs, out_dir: str, run_date: str,
         offers.write.mode("overwrite").parquet(p)
         paths["offers"] = p
         if legacy_csv:
-            legacy = legacy_projection(offers)
+            src = offers.orderBy("request_id", F.col("scrape_position").asc_nulls_first()) \
+                if ordered else offers
+            legacy = legacy_projection(src)
             for name in ("final_data", "final_data_backup"):
                 p = f"{base}/{name}_{run_date}"
                 write_csv(legacy, p)

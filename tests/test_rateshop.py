@@ -119,3 +119,32 @@ def test_reattempt_written_when_empty(spark, tmp_dir):
     files = os.listdir(paths["reattempt"])
     assert any(f.endswith(".csv") for f in files)
     assert out.reattempt.count() == 0
+
+
+def test_extra_prices_keep_pairing(spark, tmp_dir):
+    row = manifest_row(1, "A")
+    row[16], row[17], row[18] = "$10", "$115", "$230"
+    path = write_manifest(tmp_dir + "/m", [row])
+    caps = _captures(spark, [("hotels.csv:1", "fees")])
+    out = run_rate_shop(read_manifest(spark, path), caps, LAYOUTS, "2024-05-01",
+                        extra_prices=True)
+    got = sorted(out.offers.collect(), key=lambda r: r.scrape_position)
+    assert [(r.agent, r.scrape_base_price, r.scrape_average_price_fees, r.scrape_total_price)
+            for r in got] == [("A $110$220", "100", "110", "220"), ("B", "50", None, None)]
+    assert got[0].hoken_average_price_fees == "$115" and got[0].fees == "$10"
+    assert str(got[0].scrape_total_price_num) == "220.00"
+
+
+def test_ordered_legacy_export(spark, tmp_dir):
+    names = ["offers", "na_rule1", "blanks"]
+    path = write_manifest(tmp_dir + "/m", [manifest_row(i + 1, f"H{i}") for i in range(3)])
+    caps = _captures(spark, [(f"hotels.csv:{i + 1}", n) for i, n in enumerate(names)])
+    out = run_rate_shop(read_manifest(spark, path), caps, LAYOUTS, "2024-05-01")
+    paths = write_outputs(out, tmp_dir + "/out", "2024-05-01", ordered=True)
+    import glob
+    lines = []
+    for f in sorted(glob.glob(paths["final_data"] + "/part-*.csv")):
+        with open(f, newline="", encoding="utf-8") as fh:
+            lines += list(csv.reader(fh))[1:]
+    assert [(r[0], r[3]) for r in lines] == [("1", "1"), ("1", "2"), ("1", "3"),
+                                             ("2", "Not Available"), ("3", "1"), ("3", "2")]
