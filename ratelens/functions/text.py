@@ -62,10 +62,16 @@ def transliterate(col: ColumnOrName) -> Column:
     pass through unchanged (see ``transliterate_any`` for other scripts).
     """
     src, dst, multi = latin_table()
-    out = F.translate(_col(col), src, dst)
-    for ch, ascii_form in multi:
-        out = F.replace(out, F.lit(ch), F.lit(ascii_form))
-    return out
+    c = _col(col)
+    out = F.translate(c, src, dst)
+    if multi:
+        expanded = out
+        for ch, ascii_form in multi:
+            expanded = F.replace(expanded, F.lit(ch), F.lit(ascii_form))
+        letters = "".join(ch for ch, _ in multi)
+        out = F.when(c.rlike(f"[{letters}]"), expanded).otherwise(out)
+    # Pure-ASCII text (most names) is returned as it is after one scan.
+    return F.when(c.rlike("[^\\x00-\\x7F]"), out).otherwise(c)
 
 
 def fold_newlines(col: ColumnOrName) -> Column:

@@ -230,9 +230,9 @@ def q_price_clean(spark, sf_dir):
 # ---- requests, offers, outcomes -------------------------------------------
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest-shaped requests: one per order."""
-    orders = read_table(spark, sf_dir, "orders")
+def requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Manifest-shaped requests: one per order (P1); ``orders`` narrows them."""
+    orders = orders if orders is not None else read_table(spark, sf_dir, "orders")
     cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     check_in = F.col("o_orderdate").cast("date")
@@ -299,19 +299,24 @@ def q_request_offers(spark, sf_dir):
     return with_offers(req, offer_lines(spark, sf_dir), "request_id")
 
 
+def _orders_without_offers(spark, sf_dir) -> DataFrame:
+    """Orders with no line item: the anti join runs on keys, before the
+    requests are decorated with names and cities."""
+    orders = read_table(spark, sf_dir, "orders")
+    keys = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return requests_without(orders, keys, "o_orderkey")
+
+
 def q_reattempt(spark, sf_dir):
     """Requests without any offer, to try again."""
-    req = requests(spark, sf_dir)
-    keys = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("request_id"))
-    return requests_without(req, keys, "request_id").select(
+    return requests(spark, sf_dir, _orders_without_offers(spark, sf_dir)).select(
         "request_id", "hotel_id", "hotel", "check_in", "check_out", "city",
         "listed_base_price", "nights", F.lit("no_offers").alias("reason"))
 
 
 def _not_available(spark, sf_dir) -> DataFrame:
-    req = requests(spark, sf_dir)
-    keys = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("request_id"))
-    missing = requests_without(req, keys, "request_id").withColumn("status", F.lit(NOT_AVAILABLE))
+    missing = requests(spark, sf_dir, _orders_without_offers(spark, sf_dir)).withColumn(
+        "status", F.lit(NOT_AVAILABLE))
     return outcome_rows(missing, ["request_id", "hotel_id", "hotel", "check_in", "check_out",
                                   "nights", "listed_base_price"], RUN_DATE)
 
