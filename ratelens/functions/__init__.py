@@ -6,6 +6,7 @@ from ratelens.functions.text import (
     fold_newlines,
     price_decimal,
     search_key,
+    stay_date,
     transliterate,
 )
 from ratelens.functions.arrays import (
@@ -23,7 +24,7 @@ from ratelens.functions.html import (
 )
 
 __all__ = [
-    "clean_price", "fold_newlines", "price_decimal", "search_key", "transliterate",
+    "clean_price", "fold_newlines", "price_decimal", "search_key", "stay_date", "transliterate",
     "drop_blanks", "distinct_values", "nth", "pair_by_index",
     "attr_present", "extract_all", "extract_first", "has_match", "region",
 ]

@@ -101,5 +101,19 @@ def search_key(hotel: ColumnOrName, city: ColumnOrName) -> Column:
     return F.concat(transliterate(hotel), F.lit(" "), _col(city))
 
 
+# Date texts accepted for stay dates, tried in this order
+# after a leading weekday name ("Wednesday, ") is removed.
+DATE_FORMATS = ("yyyy-MM-dd", "MMMM d, yyyy", "MMM d, yyyy", "M/d/yyyy", "d MMMM yyyy")
+
+
+def stay_date(col: ColumnOrName) -> Column:
+    """Typed date from the display text of a stay date, NULL if unreadable.
+
+    ``Wednesday, May 1, 2024`` → 2024-05-01; ``2024-05-01`` → 2024-05-01."""
+    text = F.trim(F.regexp_replace(
+        _col(col), r"^\s*(?i:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+", ""))
+    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
+
+
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.arrays import pair_by_index
-from ratelens.functions.text import clean_price, price_decimal, transliterate
 from ratelens.operators.outcome import (
     CONTACT,
     CONTACT_TEXT,
@@ -79,17 +78,6 @@ def request_rows(df: DataFrame, keep: Sequence[str], names: str = "page.names",
     )
 
 
-def offer_columns(df: DataFrame, run_date: str, hotel: str = "hotel",
-                  price: str = "scrape_base_price") -> DataFrame:
-    """Typed and cleaned columns of an offer row."""
-    return (
-        df.withColumn(hotel, transliterate(hotel))
-        .withColumn("scrape_date", F.lit(run_date).cast("date"))
-        .withColumn(price + "_num", price_decimal(price))
-        .withColumn(price, clean_price(price))
-    )
-
-
 def outcome_rows(df: DataFrame, keep: Sequence[str], run_date: str) -> DataFrame:
     """One row per request that is not available or asks for contact.
 

@@ -157,8 +157,7 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
     else:
         offers = offers.select(*OFFER_COLS)
 
-    reattempt = outcomes.filter(F.col("status") == BROKEN).select(
-        "request_id", "hotel_id", transliterate("hotel").alias("hotel"), "check_in",
-        "check_out", "city", "listed_base_price", "nights", "reason")
+    reattempt = outcomes.filter(F.col("status") == BROKEN).withColumn(
+        "hotel", transliterate("hotel")).select(*REATTEMPT_COLS)
     summary = run_summary(outcomes)
     return RunOutputs(offers=offers, reattempt=reattempt, summary=summary, outcomes=outcomes)

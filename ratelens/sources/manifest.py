@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratelens.functions.text import price_decimal
+from ratelens.functions.text import price_decimal, stay_date
 
 # Manifest field positions (0-based) used by the job.
 FIELD_POSITIONS = {
@@ -81,13 +81,16 @@ def read_manifest(spark: SparkSession, path: str, width: int | None = None) -> D
 
     Columns: ``request_id, source_file, row_in_file, hotel_id, hotel, city,
     check_in, check_out, nights, listed_base_price, fees, average_price,
-    total_price, nights_int, listed_base_price_num, malformed, _corrupt``.
+    total_price, nights_int, check_in_date, check_out_date,
+    listed_base_price_num, malformed, _corrupt``.
     """
     raw = read_manifest_raw(spark, path, width)
     named = [F.col(f"_c{pos}").alias(name) for name, pos in FIELD_POSITIONS.items()]
     return raw.select(
         "request_id", "source_file", "row_in_file", *named,
         F.col(f"_c{FIELD_POSITIONS['nights']}").try_cast("int").alias("nights_int"),
+        stay_date(F.col(f"_c{FIELD_POSITIONS['check_in']}")).alias("check_in_date"),
+        stay_date(F.col(f"_c{FIELD_POSITIONS['check_out']}")).alias("check_out_date"),
         price_decimal(F.col(f"_c{FIELD_POSITIONS['listed_base_price']}"))
         .alias("listed_base_price_num"),
         F.col(CORRUPT).isNotNull().alias("malformed"),

@@ -46,3 +46,12 @@ def test_price_clean_idempotent(spark, values):
     twice = once.select(F.col("a"), clean_price("a").alias("b")).collect()
     assert all(r.a == r.b for r in twice)
     assert all(r.a == v.replace("$", "").replace(",", "") for r, v in zip(twice, values))
+
+
+def test_stay_date(spark):
+    from ratelens.functions.text import stay_date
+    vals = ["Wednesday, May 1, 2024", "2024-05-01", "May 1, 2024", "Wed, May 1, 2024",
+            "5/1/2024", "1 May 2024", "soon", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [str(r.d) if r.d else None for r in df.select(stay_date("v").alias("d")).collect()]
+    assert got == ["2024-05-01"] * 6 + [None, None]
