@@ -18,10 +18,13 @@ NULL for a missing field so the pairing with sellers survives).
 
 from __future__ import annotations
 
+import dataclasses
 import re
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
+from types import SimpleNamespace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -29,6 +32,16 @@ from pyspark.sql import functions as F
 
 from ratelens.operators.extract import ParsedLayout
 
+# Python workers may not have this package on their path (it is not
+# installed on the executors); the UDF's code is therefore shipped with the
+# function itself, and the rules are passed as plain stdlib objects.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # older cloudpickle: the package must be on the workers' path
+    pass
+
 PARSED_TYPE = (
     "struct<layout:int,names:array<string>,prices:array<string>,"
     "not_available:boolean,contact:boolean,is_listing:boolean,"
@@ -354,7 +367,7 @@ def extract_parsed(df: DataFrame, layouts: Sequence[ParsedLayout], html_col: str
 
     ``check_in`` / ``check_out`` name columns whose values are looked up
     as ``aria-label`` attributes on the page (the requested dates)."""
-    frozen = tuple(layouts)
+    frozen = tuple(SimpleNamespace(**dataclasses.asdict(lay)) for lay in layouts)
     for lay in frozen:  # fail fast on a bad rule, on the driver
         _Rules(lay)
 
