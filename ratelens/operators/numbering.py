@@ -14,9 +14,11 @@ earlier buckets are added back as a *carry*; only keys that equal a bucket
 bound can span buckets, so the carry table has at most a few rows per
 bucket and is broadcast with a proven bound.
 
-Rows that tie on every key and order column cannot be split (their order is
-arbitrary anyway); give a unique tiebreaker in ``order_cols`` if such ties
-can be large.
+Buckets are ranges over the partition keys and the leading order columns
+given by name (ascending); order columns given as sort expressions (e.g.
+``F.col("x").desc()``) take part in the window only.  Rows that tie on the
+whole bucket key cannot be split (their relative order is decided inside one
+window task); give a unique tiebreaker by name if such ties can be large.
 """
 
 from __future__ import annotations
@@ -72,22 +74,22 @@ def with_chunk_id(df: DataFrame, order_cols: Sequence[Column | str], size: int =
 
 def _numbered(df: DataFrame, part: list[str], order: list[Column | str], name: str,
               n_buckets: int | None, as_long: bool = False) -> DataFrame:
-    # Plain column names are used as they are (no copy through the shuffle);
-    # expressions get a private name.
-    extra = []
-    order_keys = []
-    for i, c in enumerate(order):
-        if isinstance(c, str) and c not in part:
-            order_keys.append(c)
-        else:
-            alias = f"_rl_o{i}"
-            extra.append((F.col(c) if isinstance(c, str) else c).alias(alias))
-            order_keys.append(alias)
-    keyed = df.select("*", *extra) if extra else df
+    # Buckets are ranges of the partition keys plus the leading order columns
+    # given by name (ascending, NULLs first: Spark's default order).  A
+    # bucket is a function of that prefix, so rows with equal prefixes never
+    # straddle buckets, and the bucket order agrees with the window order.
+    # Sort expressions given as Columns (e.g. ``desc()``) order rows inside
+    # the window only.
+    prefix: list[str] = []
+    for c in order:
+        if not isinstance(c, str) or c in part:
+            break
+        prefix.append(c)
+    keyed = df
     part_keys = list(part)
-    key_names = part_keys + order_keys
-
-    bounds = _sample_bounds(keyed, key_names, n_buckets)
+    key_names = part_keys + prefix
+    order_keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    bounds = _sample_bounds(keyed, key_names, n_buckets) if key_names else []
     types = {f.name: f.dataType for f in keyed.schema.fields}
     bucket = _bucket_expr(key_names, types, bounds)
     bucketed = keyed.withColumn(_BUCKET, bucket)

@@ -121,10 +121,11 @@ def q_list_sizes(spark, sf_dir):
 def q_distinct_names(spark, sf_dir):
     """Number of sellers and of distinct sellers per page (E5)."""
     p = _pages(spark, sf_dir)
+    found = F.col("page").isNotNull()
     return p.select(
         "page_id",
-        F.size("page.names").cast("int").alias("n_names"),
-        F.size(distinct_values("page.names")).cast("int").alias("n_distinct"),
+        F.when(found, F.size("page.names")).cast("int").alias("n_names"),
+        F.when(found, F.size(distinct_values("page.names"))).cast("int").alias("n_distinct"),
     )
 
 

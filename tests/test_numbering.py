@@ -48,3 +48,25 @@ def test_chunk_id_cases(spark):
     assert got[1] == 1 and got[50] == 1 and got[51] == 2 and got[120] == 3
     empty = spark.range(0).withColumnRenamed("id", "row")
     assert with_chunk_id(empty, ["row"], 50).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_key = st.one_of(st.none(), st.sampled_from(["a", "b", "hot", "é", ""]))
+_ord = st.one_of(st.none(), st.integers(-3, 3))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_key, _ord, _ord), min_size=1, max_size=120),
+       st.integers(1, 9))
+def test_numbering_equals_window_with_nulls_and_ties(spark, rows, buckets):
+    rows = [(k, a, b, i) for i, (k, a, b) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k string, a int, b int, u int")
+    got = row_number_within(df, ["k"], ["a", F.col("b").desc(), "u"], "rn", n_buckets=buckets)
+    want = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("k").orderBy("a", F.col("b").desc(), "u")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    g = global_row_number(df, ["k", "a", "u"], "g", n_buckets=buckets)
+    want_g = df.withColumn("g", F.row_number().over(Window.orderBy("k", "a", "u")).cast("long"))
+    assert g.exceptAll(want_g).count() == 0
