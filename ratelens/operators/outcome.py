@@ -38,18 +38,24 @@ def status_expr(page: Column, html: Column | None = None) -> Column:
 
 
 def reason_expr(page: Column, html: Column | None = None, has_capture: Column | None = None) -> Column:
-    """Why a request is broken (NULL for the other outcomes)."""
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    """Why a request is broken (NULL for the other outcomes); the first
+    failing check wins."""
+    checks: list[tuple[Column, Column]] = []
     if has_capture is not None:
-        out = F.when(~has_capture, F.lit("no_capture"))
+        checks.append((~has_capture, F.lit("no_capture")))
     if html is not None:
-        out = out.when(html.isNull(), F.lit("html_missing")).when(
-            F.length(html) == 0, F.lit("html_empty"))
-    return (
-        out.when(page.isNull(), F.lit("no_layout"))
-        .when(page["not_available"] | page["contact"], F.lit(None).cast("string"))
-        .when(F.size(page["prices"]) < F.size(page["names"]), F.lit("too_few_prices"))
-    )
+        checks += [(html.isNull(), F.lit("html_missing")),
+                   (F.length(html) == 0, F.lit("html_empty"))]
+    checks += [
+        (page.isNull(), F.lit("no_layout")),
+        (page["not_available"] | page["contact"], F.lit(None).cast("string")),
+        (F.size(page["prices"]) < F.size(page["names"]), F.lit("too_few_prices")),
+    ]
+    cond, value = checks[0]
+    out = F.when(cond, value)
+    for cond, value in checks[1:]:
+        out = out.when(cond, value)
+    return out
 
 
 def classify(df: DataFrame, page: str = "page", html: str | None = "html",
