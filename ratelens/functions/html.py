@@ -19,8 +19,11 @@ def extract_all(html: ColumnOrName, pattern: str, group: int = 1) -> Column:
 
 
 def extract_first(html: ColumnOrName, pattern: str, group: int = 1) -> Column:
-    """First match, NULL when there is none (``regexp_extract`` gives '')."""
-    return F.get(extract_all(html, pattern, group), 0)
+    """First match, NULL when there is none (``regexp_extract`` alone gives
+    '' for both "no match" and "empty match").  Both scans stop at the first
+    match instead of collecting every match of the page."""
+    c = _col(html)
+    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
 def region(html: ColumnOrName, start: str, end: str) -> Column:

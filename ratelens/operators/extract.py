@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.arrays import drop_blanks
+from ratelens.functions.html import extract_first
 from ratelens.functions.text import fold_newlines
 
 PAGE_TYPE = (
@@ -95,7 +96,7 @@ def _layout_struct(rules: NativeLayout, html: Column) -> Column:
     def first(pattern: str | None) -> Column:
         if pattern is None:
             return F.lit(None).cast("string")
-        return F.get(F.regexp_extract_all(html, F.lit(pattern), F.lit(1)), 0)
+        return extract_first(html, pattern)
 
     return F.struct(
         F.lit(rules.layout).alias("layout"),
