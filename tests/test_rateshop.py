@@ -148,3 +148,19 @@ def test_ordered_legacy_export(spark, tmp_dir):
             lines += list(csv.reader(fh))[1:]
     assert [(r[0], r[3]) for r in lines] == [("1", "1"), ("1", "2"), ("1", "3"),
                                              ("2", "Not Available"), ("3", "1"), ("3", "2")]
+
+
+def test_read_captures(spark, tmp_dir):
+    import json
+    from ratelens.sources.captures import read_captures
+    os.makedirs(tmp_dir + "/j")
+    with open(tmp_dir + "/j/c.json", "w") as f:
+        f.write(json.dumps({"request_id": "r1", "html": PAGES["offers"],
+                            "captured_at": "2024-01-01 10:00:00"}) + "\n")
+        f.write(json.dumps({"request_id": "r2", "html": None}) + "\n")
+    df = read_captures(spark, tmp_dir + "/j", fmt="json")
+    assert df.columns == ["request_id", "page_id", "url", "html", "captured_at"]
+    rows = {r.request_id: r for r in df.collect()}
+    assert rows["r1"].captured_at == dt.datetime(2024, 1, 1, 10) and rows["r2"].html is None
+    df.write.parquet(tmp_dir + "/p")
+    assert read_captures(spark, tmp_dir + "/p").count() == 2
