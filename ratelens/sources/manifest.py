@@ -14,7 +14,7 @@ over the same files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,8 +40,8 @@ CORRUPT = "_corrupt"
 MAX_BROADCAST_FILES = 100_000
 
 
-def _reader(spark: SparkSession):
-    return (spark.read.option("header", True).option("multiLine", True)
+def _reader(spark: SparkSession, multi_line: bool = True):
+    return (spark.read.option("header", True).option("multiLine", multi_line)
             .option("escape", '"').option("quote", '"').option("encoding", "UTF-8"))
 
 
@@ -50,33 +50,62 @@ def manifest_width(spark: SparkSession, path: str) -> int:
     return max(MIN_WIDTH, len(_reader(spark).csv(path).columns))
 
 
-def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
-    """All fields as strings ``_c0..``, ``_corrupt``, ``source_file``, ``request_id``."""
+def manifest_header(spark: SparkSession, path: str) -> list[str]:
+    """The header line's field names (reads the header only)."""
+    return _reader(spark).csv(path).columns
+
+
+def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None,
+                      multi_line: bool = True) -> DataFrame:
+    """All fields as strings ``_c0..``, ``_corrupt``, ``source_file``,
+    ``row_in_file``, ``request_id``.
+
+    ``multi_line=True`` (the default) allows line breaks inside quoted
+    fields; such a file is read whole by one task.  With ``multi_line=False``
+    (no line breaks inside fields) Spark splits large files across tasks."""
     width = width or manifest_width(spark, path)
     schema = T.StructType(
         [T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)]
         + [T.StructField(CORRUPT, T.StringType(), True)]
     )
-    raw = (_reader(spark).schema(schema).option("enforceSchema", True)
+    raw = (_reader(spark, multi_line).schema(schema).option("enforceSchema", True)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .csv(path))
-    # A multi-line CSV file is never split, and a task reads its files one
-    # after the other, so the ids of one file's rows are consecutive; the
-    # row number is the id minus the file's first id.
+    # Rows of one file split (the whole file when multi-line) are read in
+    # order by one task, so their ids are consecutive: the row number is the
+    # id minus the split's first id, plus the rows of the file's earlier
+    # splits.  The per-split table has one row per split.
     raw = raw.select("*", F.col("_metadata.file_path").alias("source_file"),
+                     F.col("_metadata.file_block_start").alias("_rl_block"),
                      F.monotonically_increasing_id().alias("_rl_id"))
-    firsts = raw.groupBy("source_file").agg(F.min("_rl_id").alias("_rl_first"))
-    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES:
-        firsts = F.broadcast(firsts)
-    numbered = raw.join(firsts, "source_file").withColumn(
-        "row_in_file", (F.col("_rl_id") - F.col("_rl_first") + 1).cast("long"))
+    splits = raw.groupBy("source_file", "_rl_block").agg(
+        F.min("_rl_id").alias("_rl_first"), F.count(F.lit(1)).alias("_rl_n"))
+    earlier = Window.partitionBy("source_file").orderBy("_rl_block").rowsBetween(
+        Window.unboundedPreceding, -1)
+    splits = splits.select("source_file", "_rl_block", "_rl_first",
+                           F.coalesce(F.sum("_rl_n").over(earlier), F.lit(0)).alias("_rl_before"))
+    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES and multi_line:
+        splits = F.broadcast(splits)  # one row per file
+    numbered = raw.join(splits, ["source_file", "_rl_block"]).withColumn(
+        "row_in_file",
+        (F.col("_rl_before") + F.col("_rl_id") - F.col("_rl_first") + 1).cast("long"))
     name = F.element_at(F.split("source_file", "/"), -1)
     return numbered.withColumn(
         "request_id", F.concat(name, F.lit(":"), F.col("row_in_file").cast("string"))
-    ).drop("_rl_id", "_rl_first")
+    ).drop("_rl_id", "_rl_first", "_rl_block", "_rl_before")
+
 
+def _malformed():
+    """``_corrupt IS NOT NULL``, written so that it also reads ``_c0``: Spark
+    refuses a CSV scan whose only data column is the corrupt-record column
+    (e.g. ``filter("malformed").count()``)."""
+    corrupt = F.col(CORRUPT)
+    return F.when(corrupt.isNull() & F.col("_c0").isNull(), F.lit(False)).otherwise(
+        corrupt.isNotNull())
 
-def read_manifest(spark: SparkSession, path: str, width: int | None = None) -> DataFrame:
+
+def read_manifest(spark: SparkSession, path: str, width: int | None = None,
+                  multi_line: bool = True) -> DataFrame:
     """Requests with named columns, raw strings kept, typed prices added.
 
     Columns: ``request_id, source_file, row_in_file, hotel_id, hotel, city,
@@ -84,7 +113,7 @@ def read_manifest(spark: SparkSession, path: str, width: int | None = None) -> D
     total_price, nights_int, check_in_date, check_out_date,
     listed_base_price_num, malformed, _corrupt``.
     """
-    raw = read_manifest_raw(spark, path, width)
+    raw = read_manifest_raw(spark, path, width, multi_line)
     named = [F.col(f"_c{pos}").alias(name) for name, pos in FIELD_POSITIONS.items()]
     return raw.select(
         "request_id", "source_file", "row_in_file", *named,
@@ -93,7 +122,7 @@ def read_manifest(spark: SparkSession, path: str, width: int | None = None) -> D
         stay_date(F.col(f"_c{FIELD_POSITIONS['check_out']}")).alias("check_out_date"),
         price_decimal(F.col(f"_c{FIELD_POSITIONS['listed_base_price']}"))
         .alias("listed_base_price_num"),
-        F.col(CORRUPT).isNotNull().alias("malformed"),
+        _malformed().alias("malformed"),
         CORRUPT,
     )
 
@@ -101,3 +130,15 @@ def read_manifest(spark: SparkSession, path: str, width: int | None = None) -> D
 def sample_manifest(requests: DataFrame, n: int = 14) -> DataFrame:
     """The first ``n`` requests in file order: a quick-test run."""
     return requests.orderBy("source_file", "row_in_file").limit(n)
+
+
+def reattempt_manifest(spark: SparkSession, path: str, reattempt: DataFrame,
+                       width: int | None = None, multi_line: bool = True) -> DataFrame:
+    """The original manifest rows (all fields, header names) of the requests
+    to try again, so that the next run can read them as its manifest.
+    Malformed rows cannot be fed back and stay only in the re-attempt output."""
+    header = manifest_header(spark, path)
+    raw = read_manifest_raw(spark, path, width, multi_line).filter(F.col(CORRUPT).isNull())
+    keys = reattempt.select("request_id").distinct()
+    rows = raw.join(keys, "request_id", "left_semi")
+    return rows.select(*[F.col(f"_c{i}").alias(h) for i, h in enumerate(header)])

@@ -164,3 +164,32 @@ def test_read_captures(spark, tmp_dir):
     assert rows["r1"].captured_at == dt.datetime(2024, 1, 1, 10) and rows["r2"].html is None
     df.write.parquet(tmp_dir + "/p")
     assert read_captures(spark, tmp_dir + "/p").count() == 2
+
+
+def test_split_manifest_keeps_row_numbers(spark, tmp_dir):
+    rows = [manifest_row(i, f"Hotel {i:05d} " + "x" * 40) for i in range(1, 3001)]
+    path = write_manifest(tmp_dir + "/big", rows)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = read_manifest(spark, path, multi_line=False)
+        assert df.rdd.getNumPartitions() > 1
+        got = {r.row_in_file: r.hotel_id for r in df.select("row_in_file", "hotel_id").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i: str(i) for i in range(1, 3001)}
+
+
+def test_reattempt_manifest_feeds_back(spark, tmp_dir):
+    from ratelens.sources.manifest import reattempt_manifest
+    from ratelens.sources.sinks import write_csv
+    names = ["offers", "too_few_prices", "neither"]
+    path = write_manifest(tmp_dir + "/m", [manifest_row(i + 1, f"H{i}") for i in range(3)])
+    caps = _captures(spark, [(f"hotels.csv:{i + 1}", n) for i, n in enumerate(names)])
+    out = run_rate_shop(read_manifest(spark, path), caps, LAYOUTS, "2024-05-01")
+    again = reattempt_manifest(spark, path, out.reattempt)
+    assert again.columns == HEADER
+    write_csv(again, tmp_dir + "/again")
+    second = read_manifest(spark, tmp_dir + "/again")
+    assert sorted(r.hotel_id for r in second.collect()) == ["2", "3"]
+    assert second.filter("malformed").count() == 0
