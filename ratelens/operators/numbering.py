@@ -28,6 +28,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _BUCKET = "_rl_bucket"
 _CARRY = "_rl_carry"
@@ -36,8 +37,11 @@ _CARRY = "_rl_carry"
 # inputs get one bucket, i.e. a plain window), and the most buckets the CASE
 # tree may hold.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 1024
-SAMPLES_PER_BUCKET = 64
+MAX_BUCKETS = 4096
+SAMPLES_PER_BUCKET = 32
+# Up to this many bounds the bucket is a balanced CASE tree (compiled code);
+# beyond, a binary search whose code size does not grow with the bounds.
+TREE_MAX_BOUNDS = 127
 
 
 def row_number_within(df: DataFrame, partition_cols: Sequence[str],
@@ -91,7 +95,7 @@ def _numbered(df: DataFrame, part: list[str], order: list[Column | str], name: s
     order_keys = [F.col(c) if isinstance(c, str) else c for c in order]
     bounds = _sample_bounds(keyed, key_names, n_buckets) if key_names else []
     types = {f.name: f.dataType for f in keyed.schema.fields}
-    bucket = _bucket_expr(key_names, types, bounds)
+    bucket = _bucket_expr(key_names, types, bounds, len(part_keys))
     bucketed = keyed.withColumn(_BUCKET, bucket)
 
     w = Window.partitionBy(_BUCKET, *part_keys).orderBy(*order_keys)
@@ -114,13 +118,36 @@ def _numbered(df: DataFrame, part: list[str], order: list[Column | str], name: s
     return numbered.select(*df.columns, name)
 
 
+def _bucket_key(key_names: list[str], types: dict) -> list[str] | None:
+    """SQL expressions of the bucket key; ``None`` if a type is unsupported.
+
+    Timestamps are compared as epoch microseconds (same order), so collected
+    bounds never go through Python time-zone conversion."""
+    out = []
+    for k in key_names:
+        t = types[k]
+        ref = f"`{k.replace('`', '``')}`"
+        if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            out.append(f"unix_micros(CAST({ref} AS TIMESTAMP))")
+        elif isinstance(t, _LITERAL_TYPES):
+            out.append(ref)
+        else:
+            return None
+    return out
+
+
 def _sample_bounds(keyed: DataFrame, key_names: list[str],
                    n_buckets: int | None) -> list[tuple]:
-    """Pick ``n_buckets - 1`` ascending bounds over the key columns.
+    """Pick ``n_buckets - 1`` ascending bounds over the bucket key.
 
     Two small actions: a row count and a bounded sample (at most
-    ``SAMPLES_PER_BUCKET * MAX_BUCKETS`` rows of the key columns only)."""
-    keys_only = keyed.select(*key_names)
+    ``4 * SAMPLES_PER_BUCKET * MAX_BUCKETS`` rows of the key columns only)."""
+    types = {f.name: f.dataType for f in keyed.schema.fields}
+    key_sql = _bucket_key(key_names, types)
+    if key_sql is None:
+        return []
+    keys_only = keyed.select(*[F.expr(e).alias(f"_rl_b{i}") for i, e in enumerate(key_sql)])
+    cols = keys_only.columns
     if n_buckets is None:
         total = keys_only.count()
         n_buckets = min(MAX_BUCKETS, max(1, math.ceil(total / ROWS_PER_BUCKET)))
@@ -134,7 +161,7 @@ def _sample_bounds(keyed: DataFrame, key_names: list[str],
     want = n_buckets * SAMPLES_PER_BUCKET
     fraction = min(1.0, 2.0 * want / max(total, 1))
     sample = (keys_only.sample(withReplacement=False, fraction=fraction, seed=17)
-              .orderBy(*key_names).limit(4 * want).collect())
+              .orderBy(*cols).limit(4 * want).collect())
     if len(sample) < 2:
         return []
     step = len(sample) / n_buckets
@@ -146,24 +173,90 @@ def _sample_bounds(keyed: DataFrame, key_names: list[str],
     return bounds
 
 
-def _bucket_expr(key_names: list[str], types: dict, bounds: list[tuple]) -> Column:
+_LITERAL_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType,
+                  T.DoubleType, T.FloatType, T.DecimalType, T.DateType, T.BooleanType)
+
+
+def _sql_literal(value, dtype) -> str:
+    """A typed SQL literal for one collected key value."""
+    if value is None:
+        return "NULL"
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return f"{int(value)}L"  # compared as epoch microseconds
+    if isinstance(dtype, T.StringType):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, T.BooleanType):
+        return "true" if value else "false"
+    if isinstance(dtype, T.DateType):
+        return f"DATE'{value.isoformat()}'"
+    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return f"CAST({int(value)}L AS {dtype.simpleString()})"
+    return f"CAST('{value!r}' AS {dtype.simpleString()})" if isinstance(
+        dtype, (T.DoubleType, T.FloatType)) else f"CAST('{value}' AS {dtype.simpleString()})"
+
+
+def _bucket_expr(key_names: list[str], types: dict, bounds: list[tuple],
+                 n_part: int = 0) -> Column:
     """Bucket index in ``[0, len(bounds)]``: bucket i holds keys in
-    ``[bounds[i-1], bounds[i])``.  A balanced tree: log2(n) comparisons."""
+    ``[bounds[i-1], bounds[i])``.  A balanced tree of ``log2(n)``
+    comparisons, written as one SQL expression (one call to the JVM however
+    many buckets there are)."""
     if not bounds:
         return F.lit(0)
-    key = F.struct(*[F.col(k) for k in key_names])
-    lits = [
-        F.struct(*[F.lit(v).cast(types[k]).alias(k) for k, v in zip(key_names, b)])
-        for b in bounds
-    ]
+    key_sql = _bucket_key(key_names, types)
+    names = [f"b{i}" for i in range(len(key_names))]
+    key = "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in zip(names, key_sql)) + ")"
+    lits = []
+    for b in bounds:
+        parts = []
+        for n, k, v in zip(names, key_names, b):
+            t = types[k]
+            lit = _sql_literal(v, t)
+            if lit == "NULL":
+                ref_type = "bigint" if isinstance(t, (T.TimestampType, T.TimestampNTZType)) \
+                    else t.simpleString()
+                lit = f"CAST(NULL AS {ref_type})"
+            parts.append(f"'{n}', {lit}")
+        lits.append("named_struct(" + ", ".join(parts) + ")")
 
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi + 1) // 2
-        return F.when(key < lits[mid - 1], tree(lo, mid - 1)).otherwise(tree(mid, hi))
+        return f"CASE WHEN {key} < {lits[mid - 1]} THEN {tree(lo, mid - 1)} ELSE {tree(mid, hi)} END"
 
-    return tree(0, len(bounds))
+    if len(bounds) <= TREE_MAX_BOUNDS:
+        full = tree(0, len(bounds))
+    else:
+        # Binary search over one array literal: the code size does not grow
+        # with the number of bounds (a large nested CASE would no longer be
+        # compiled to native code by the JVM).  Result: bounds <= key.
+        steps = max(1, math.ceil(math.log2(len(bounds) + 1)))
+        arr = "array(" + ", ".join(lits) + ")"
+        mid = "CAST((acc.lo + acc.hi) div 2 AS INT)"
+        full = (
+            f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', {len(bounds)}), "
+            f"(acc, i) -> IF(acc.lo >= acc.hi, acc, "
+            f"IF({key} < element_at({arr}, {mid} + 1), "
+            f"named_struct('lo', acc.lo, 'hi', {mid}), "
+            f"named_struct('lo', {mid} + 1, 'hi', acc.hi))), "
+            f"acc -> acc.lo)"
+        )
+    if n_part == 0:
+        return F.expr(full)
+    # Only a key equal to the key part of some bound can span buckets; every
+    # other key lies inside one bucket whatever its number, so it gets 0 (and
+    # no carry).  A hash-set test on the first partition key keeps the tree
+    # off the rows of ordinary keys: only hot keys (and a few keys cut by a
+    # bound) pay for it.
+    t0 = types[key_names[0]]
+    firsts = sorted({b[0] for b in bounds if b[0] is not None}, key=repr)
+    tests = []
+    if firsts:
+        tests.append(f"{key_sql[0]} IN (" + ", ".join(_sql_literal(v, t0) for v in firsts) + ")")
+    if any(b[0] is None for b in bounds):
+        tests.append(f"{key_sql[0]} IS NULL")
+    return F.expr(f"CASE WHEN {' OR '.join(tests)} THEN {full} ELSE 0 END")
 
 
 def _carry_table(bucketed: DataFrame, part_keys: list[str], key_names: list[str],
@@ -178,16 +271,24 @@ def _carry_table(bucketed: DataFrame, part_keys: list[str], key_names: list[str]
     spark = bucketed.sparkSession
     n = len(part_keys)
     if n:
-        span_keys = sorted({b[:n] for b in bounds}, key=repr)
+        # bounds hold the bucket-key form of the values (epoch microseconds
+        # for timestamps), so the comparison uses the same expressions
         types = {f.name: f.dataType for f in bucketed.schema.fields}
+        key_sql = _bucket_key(key_names, types)[:n]
+        span_keys = sorted({b[:n] for b in bounds}, key=repr)
+
+        def key_type(k):
+            t = types[k]
+            return "bigint" if isinstance(t, (T.TimestampType, T.TimestampNTZType)) \
+                else t.simpleString()
+
         key_df = spark.createDataFrame(
             [tuple(k) for k in span_keys],
-            schema=", ".join(f"{k} {types[k].simpleString()}" for k in part_keys),
+            schema=", ".join(f"_rls{i} {key_type(k)}" for i, k in enumerate(part_keys)),
         )
-        key_df = key_df.select(*[F.col(k).alias("_rls" + k) for k in part_keys])
         cond = None
-        for k in part_keys:
-            c = F.col(k).eqNullSafe(F.col("_rls" + k))
+        for i, e in enumerate(key_sql):
+            c = F.expr(e).eqNullSafe(F.col(f"_rls{i}"))
             cond = c if cond is None else cond & c
         candidates = bucketed.join(F.broadcast(key_df), cond, "left_semi")
     else:

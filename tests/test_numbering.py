@@ -70,3 +70,29 @@ def test_numbering_equals_window_with_nulls_and_ties(spark, rows, buckets):
     g = global_row_number(df, ["k", "a", "u"], "g", n_buckets=buckets)
     want_g = df.withColumn("g", F.row_number().over(Window.orderBy("k", "a", "u")).cast("long"))
     assert g.exceptAll(want_g).count() == 0
+
+
+def test_numbering_timestamp_and_decimal_keys(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 1 + (i % 3)), i % 7 / 4, f"s'{i % 5}\\\\", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, d double, s string, u int") \
+        .withColumn("m", (F.col("u") % 11).cast("decimal(10,2)"))
+    got = row_number_within(df, ["t"], ["m", "s", "d", "u"], "rn", n_buckets=9)
+    want = df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("t").orderBy("m", "s", "d", "u")))
+    assert got.exceptAll(want).count() == 0
+    g = global_row_number(df, ["t", "s", "u"], "g", n_buckets=7)
+    want_g = df.withColumn("g", F.row_number().over(Window.orderBy("t", "s", "u")).cast("long"))
+    assert g.exceptAll(want_g).count() == 0
+
+
+def test_many_buckets_use_binary_search(spark):
+    # more bounds than the CASE tree takes: the array binary search is used
+    from ratelens.operators import numbering as N
+    df = spark.createDataFrame(_rows(6000, hot_share=0.4, seed=3), "k int, o int, u int")
+    assert 299 > N.TREE_MAX_BOUNDS
+    got = row_number_within(df, ["k"], ["o", "u"], "rn", n_buckets=300)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "u")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    g = global_row_number(df, ["o", "u"], "g", n_buckets=300)
+    assert sorted(r.g for r in g.select("g").collect()) == list(range(1, 6001))
