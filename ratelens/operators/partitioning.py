@@ -20,7 +20,11 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame, by: Sequence[str], min_partitions: int | None = None) -> DataFrame:
     """Hash-partition ``df`` by ``by`` (a unique key) if it has fewer
     partitions than the default parallelism."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
+        return df
+    if current >= target:
         return df
     return df.repartition(target, *by)
