@@ -62,7 +62,9 @@ class RunOutputs:
 def extract_captures(captures: DataFrame,
                      layouts: Sequence[NativeLayout] | Sequence[ParsedLayout]) -> DataFrame:
     """Per capture: ``request_id, captured_at, page, html_state`` (no html)."""
-    key = ["page_id"] if "page_id" in captures.columns else ["request_id", "captured_at"]
+    # near-unique together even when page_id or captured_at are all NULL, or
+    # one request was captured many times
+    key = [c for c in ("request_id", "page_id", "captured_at") if c in captures.columns]
     if not captures.isStreaming:
         captures = spread(captures, key)
     if all(isinstance(x, NativeLayout) for x in layouts):
