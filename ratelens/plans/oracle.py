@@ -230,6 +230,38 @@ SELECT request_id, request_id AS hotel_id, hotel, CAST(NULL AS VARCHAR) AS agent
   status
 FROM r WHERE status IN ('not_available', 'contact')""",
 
+    "page_legacy_rows": f"""{_PAGE_RUN},
+rows AS (
+  SELECT request_id, status, n[i] AS agent, CAST(i AS INTEGER) AS pos, {_CLEAN} AS price
+  FROM r, unnest(range(1, len(n) + 1)) AS t(i) WHERE status = 'offers'
+  UNION ALL
+  SELECT request_id, status, NULL, NULL, NULL FROM r WHERE status IN ('not_available', 'contact'))
+SELECT rows.request_id, rows.status, rows.request_id AS hotel_id, r.hotel AS hotel,
+  CASE WHEN rows.status = 'not_available' THEN 'Not Available' ELSE agent END AS agents,
+  CASE WHEN rows.status = 'not_available' THEN 'Not Available' ELSE CAST(pos AS VARCHAR) END
+    AS scrape_position,
+  '2024-01-15' AS scrape_date, CAST(NULL AS VARCHAR) AS check_in, CAST(NULL AS VARCHAR) AS check_out,
+  CASE WHEN rows.status = 'not_available' THEN 'Not Available'
+       WHEN rows.status = 'contact' THEN 'Contact this property' END AS check_in_search,
+  CASE WHEN rows.status = 'not_available' THEN 'Not Available'
+       WHEN rows.status = 'contact' THEN 'Contact this property' END AS check_out_search,
+  CAST(NULL AS VARCHAR) AS hoken_base_price,
+  CASE WHEN rows.status = 'not_available' THEN 'Not Available'
+       WHEN rows.status = 'contact' THEN 'Contact this property' ELSE price END AS scrape_base_price,
+  CAST(NULL AS VARCHAR) AS nights
+FROM rows JOIN r ON r.request_id = rows.request_id""",
+
+    "chunk_summary": """
+SELECT chunk_id, COUNT(*) AS requests, COUNT(n) AS successes,
+  CAST(coalesce(SUM(n), 0) AS BIGINT) AS offers
+FROM (
+  SELECT CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 50) + 1 AS INTEGER) AS chunk_id,
+    c.n
+  FROM orders o
+  LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n FROM lineitem GROUP BY l_orderkey) c
+    ON c.l_orderkey = o.o_orderkey)
+GROUP BY chunk_id""",
+
     "page_rate_shop_summary": f"""WITH {_PAGES}
 SELECT status, COUNT(*) AS requests,
   CAST(SUM(CASE WHEN status = 'offers' THEN len(n) ELSE 0 END) AS BIGINT) AS offers

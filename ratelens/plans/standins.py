@@ -403,6 +403,27 @@ def q_page_rate_shop_parsed(spark, sf_dir):
     return out.offers
 
 
+def q_page_legacy_rows(spark, sf_dir):
+    """The legacy result CSV rows of the whole run, sentinel texts in place
+    (P4, P6, P7)."""
+    out = run_rate_shop(page_requests(spark, sf_dir), page_captures(spark, sf_dir),
+                        [STANDIN_LAYOUT], RUN_DATE, cut_lineage=False)
+    return legacy_projection(out.offers, keep=["request_id", "status"])
+
+
+def q_chunk_summary(spark, sf_dir):
+    """Per batch of 50 requests: requests, successes and offers (W1 with A1)."""
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("request_id"))
+    per_request = read_table(spark, sf_dir, "lineitem").groupBy(
+        F.col("l_orderkey").alias("request_id")).agg(F.count(F.lit(1)).alias("n_offers"))
+    chunks = with_chunk_id(orders, ["request_id"], 50)
+    return chunks.join(per_request, "request_id", "left").groupBy("chunk_id").agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count("n_offers").alias("successes"),
+        F.coalesce(F.sum("n_offers"), F.lit(0)).alias("offers"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offers": q_offers,
     "page_names": q_page_names,
@@ -432,4 +453,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_rate_shop": q_page_rate_shop,
     "page_rate_shop_summary": q_page_rate_shop_summary,
     "page_rate_shop_parsed": q_page_rate_shop_parsed,
+    "page_legacy_rows": q_page_legacy_rows,
+    "chunk_summary": q_chunk_summary,
 }
