@@ -193,3 +193,24 @@ def test_reattempt_manifest_feeds_back(spark, tmp_dir):
     second = read_manifest(spark, tmp_dir + "/again")
     assert sorted(r.hotel_id for r in second.collect()) == ["2", "3"]
     assert second.filter("malformed").count() == 0
+
+
+def test_legacy_csv_round_trip_exact(spark, tmp_dir):
+    import glob
+    from ratelens.operators.offers import legacy_projection
+    names = ["offers", "na_rule1", "contact_rule1"]
+    hotels = ['Hôtel "Le, Grand"', "Two\nLines", "Plain"]
+    path = write_manifest(tmp_dir + "/m", [manifest_row(i + 1, h) for i, h in enumerate(hotels)])
+    caps = _captures(spark, [(f"hotels.csv:{i + 1}", n) for i, n in enumerate(names)])
+    out = run_rate_shop(read_manifest(spark, path), caps, LAYOUTS, "2024-05-01")
+    paths = write_outputs(out, tmp_dir + "/out", "2024-05-01")
+    want = sorted(tuple(None if v in (None, "") else v for v in r)
+                  for r in legacy_projection(out.offers).collect())
+    got = []
+    for f in glob.glob(paths["final_data"] + "/part-*.csv"):
+        with open(f, newline="", encoding="utf-8") as fh:
+            rows = list(csv.reader(fh))
+        got += [tuple(None if v == "" else v for v in r) for r in rows[1:]]
+    assert sorted(got) == want
+    assert any(r[1] == 'Hotel "Le, Grand"' for r in got)
+    assert any(r[1] == "Two\nLines" for r in got)
