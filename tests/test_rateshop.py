@@ -214,3 +214,17 @@ def test_legacy_csv_round_trip_exact(spark, tmp_dir):
     assert sorted(got) == want
     assert any(r[1] == 'Hotel "Le, Grand"' for r in got)
     assert any(r[1] == "Two\nLines" for r in got)
+
+
+def test_command_line_run(spark, tmp_dir, capsys):
+    from ratelens.__main__ import main
+    names = ["offers", "too_few_prices"]
+    path = write_manifest(tmp_dir + "/m", [manifest_row(i + 1, f"H{i}") for i in range(2)])
+    _captures(spark, [(f"hotels.csv:{i + 1}", n) for i, n in enumerate(names)]).write.parquet(
+        tmp_dir + "/caps")
+    assert main(["--manifest", path, "--captures", tmp_dir + "/caps", "--out",
+                 tmp_dir + "/out", "--run-date", "2024-05-01"]) == 0
+    printed = capsys.readouterr().out
+    assert "offers" in printed and "reattempt_manifest" in printed
+    retry = read_manifest(spark, tmp_dir + "/out/reattempt_manifest_2024-05-01")
+    assert [r.hotel_id for r in retry.collect()] == ["2"]
