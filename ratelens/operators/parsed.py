@@ -53,6 +53,8 @@ PARSED_TYPE = (
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 _INVISIBLE = frozenset(("script", "style", "template", "noscript", "head", "title"))
+# Inline styles that hide an element (a browser shows no text for it).
+_HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _SPACES = re.compile(r"[ \t\r\f\v ]+")
 # A start tag of one of these closes an open <p> (HTML's implied end tag);
 # the search for that <p> stops at these scope boundaries.
@@ -206,7 +208,8 @@ class _Page(HTMLParser):
             return
         depth = len(self.stack)
         opened = self._flags(tag, amap, classes, depth)
-        invisible = tag in _INVISIBLE
+        invisible = (tag in _INVISIBLE or "hidden" in amap
+                     or bool(_HIDDEN_STYLE.search(amap.get("style", ""))))
         if invisible:
             self.hidden += 1
         if tag in ("p", "div", "li", "tr", "section", "article", "h1", "h2", "h3"):

@@ -57,6 +57,9 @@ PAGES = {
     "malformed": '<html><body><div id="prices"><div class="NiGhzc">A<span class="pNExyb">$1',
     "empty": "",
     "null": None,
+    "hidden": container(seller("A") + price("$1")
+                        + '<div class="NiGhzc" style="display: none">Ghost</div>'
+                        + '<span class="pNExyb" hidden>$0</span>' + seller("B") + price("$2")),
     "fees": container(
         '<div class="NiGhzc">A<div class="Einivf qOlGCc"><span class="MW1oTb">$110</span>'
         '<span class="UeIHqb">$220</span></div></div>' + price("$100")

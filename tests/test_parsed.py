@@ -20,6 +20,11 @@ def test_blanks_dropped_order_kept():
     assert p["names"] == ["A", "B"] and p["prices"] == ["$1", "$2"]
 
 
+def test_hidden_elements_have_no_text():
+    p = page("hidden")
+    assert p["names"] == ["A", "B"] and p["prices"] == ["$1", "$2"]
+
+
 def test_same_price_twice_kept():
     assert page("same_price")["prices"] == ["$99", "$99"]
 
@@ -78,7 +83,7 @@ def test_udf_matches_python(spark):
         "no_agents": "offers", "na_rule1": "not_available", "na_rule2": "not_available",
         "contact_rule1": "contact", "contact_rule2": "contact", "both_flags": "not_available",
         "listing": "offers", "neither": "broken", "dates": "offers", "empty": "broken",
-        "null": "broken", "fees": "offers",
+        "null": "broken", "fees": "offers", "hidden": "offers",
     }
     for k, status in expect.items():
         assert by[k].status == status, k
