@@ -95,10 +95,15 @@ def _numbered(df: DataFrame, part: list[str], order: list[Column | str], name: s
     order_keys = [F.col(c) if isinstance(c, str) else c for c in order]
     bounds = _sample_bounds(keyed, key_names, n_buckets) if key_names else []
     types = {f.name: f.dataType for f in keyed.schema.fields}
-    bucket = _bucket_expr(key_names, types, bounds, len(part_keys))
-    bucketed = keyed.withColumn(_BUCKET, bucket)
+    bucketed = keyed.withColumn(_BUCKET, _bucket_expr(key_names, types, bounds, len(part_keys))) \
+        if bounds else keyed
 
-    w = Window.partitionBy(_BUCKET, *part_keys).orderBy(*order_keys)
+    if bounds:
+        w = Window.partitionBy(_BUCKET, *part_keys).orderBy(*order_keys)
+    else:
+        # one bucket: a plain window, whose output stays partitioned by the
+        # key, so a later join or aggregation on it needs no new shuffle
+        w = Window.partitionBy(*part_keys).orderBy(*order_keys)
     local = bucketed.withColumn("_rl_local", F.row_number().over(w))
 
     carry = _carry_table(bucketed, part_keys, key_names, bounds)
