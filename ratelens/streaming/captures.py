@@ -13,6 +13,9 @@ appending twice.  The stream's progress lives in ``checkpointLocation``
 
 A request captured again in a later batch appears in several epochs;
 ``latest_outcomes`` keeps the latest capture per request over all epochs.
+
+``requests`` is joined with every micro-batch: pass a table read from
+parquet (the manifest written once), not the CSV reader itself.
 """
 
 from __future__ import annotations
