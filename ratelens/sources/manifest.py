@@ -84,12 +84,16 @@ def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None,
         Window.unboundedPreceding, -1)
     splits = splits.select("source_file", "_rl_block", "_rl_first",
                            F.coalesce(F.sum("_rl_n").over(earlier), F.lit(0)).alias("_rl_before"))
-    if len(raw.inputFiles()) <= MAX_BROADCAST_FILES and multi_line:
+    files = raw.inputFiles()
+    if len(files) <= MAX_BROADCAST_FILES and multi_line:
         splits = F.broadcast(splits)  # one row per file
     numbered = raw.join(splits, ["source_file", "_rl_block"]).withColumn(
         "row_in_file",
         (F.col("_rl_before") + F.col("_rl_id") - F.col("_rl_first") + 1).cast("long"))
-    name = F.element_at(F.split("source_file", "/"), -1)
+    # the file name identifies a request when names are unique, else the path
+    base_names = [f.rstrip("/").rsplit("/", 1)[-1] for f in files]
+    unique = len(set(base_names)) == len(base_names)
+    name = F.element_at(F.split("source_file", "/"), -1) if unique else F.col("source_file")
     return numbered.withColumn(
         "request_id", F.concat(name, F.lit(":"), F.col("row_in_file").cast("string"))
     ).drop("_rl_id", "_rl_first", "_rl_block", "_rl_before")

@@ -228,3 +228,10 @@ def test_command_line_run(spark, tmp_dir, capsys):
     assert "offers" in printed and "reattempt_manifest" in printed
     retry = read_manifest(spark, tmp_dir + "/out/reattempt_manifest_2024-05-01")
     assert [r.hotel_id for r in retry.collect()] == ["2"]
+
+
+def test_request_ids_unique_across_folders(spark, tmp_dir):
+    write_manifest(tmp_dir + "/m/a", [manifest_row(1, "A")])
+    write_manifest(tmp_dir + "/m/b", [manifest_row(2, "B")])
+    ids = [r.request_id for r in read_manifest(spark, tmp_dir + "/m/*/hotels.csv").collect()]
+    assert len(set(ids)) == 2 and all(i.endswith("hotels.csv:1") for i in ids)
