@@ -46,3 +46,40 @@ def test_scan_reads_only_needed_columns(spark):
         .executedPlan().toString()
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert "html" not in schema and "url" in schema
+
+
+def test_hot_request_join_is_split_by_aqe(spark):
+    from pyspark.sql import functions as F
+
+    from ratelens.operators.joins import with_offers
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        # one request holds half of all offers
+        offers = spark.range(20000).select(
+            F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id") % 500)
+            .alias("request_id"), F.col("id").alias("offer"))
+        requests = spark.range(600).select(F.col("id").alias("request_id"),
+                                           (F.col("id") * 10).alias("hotel_id"))
+        joined = with_offers(requests, offers, "request_id")
+        got = sorted(tuple(r) for r in joined.collect())
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, plan[:2000]
+        want = sorted(tuple(r) for r in requests.join(offers, "request_id", "left")
+                      .select(*joined.columns).collect())
+        assert got == want
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
