@@ -1,7 +1,7 @@
 """Run the rate-shop job from the command line.
 
     python -m ratelens --manifest hotels.csv --captures captures/ \\
-        --out results/ [--run-date 2024-05-01] [--rules detail,listing] \\
+        --out results/ [--run-date 2024-05-01] [--rules rules.json] \\
         [--extra-prices] [--ordered] [--captures-format parquet|json]
 
 Reads the manifest and the captured pages, writes offers, the legacy CSV
@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from ratelens.plans.layouts import DEFAULT_LAYOUTS
+from ratelens.plans.layouts import DEFAULT_LAYOUTS, load_layouts
 from ratelens.plans.rateshop import run_rate_shop
 from ratelens.session import get_session
 from ratelens.sources.captures import read_captures
@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
                     help="date stamped on rows and paths (default: today)")
     ap.add_argument("--single-line-manifest", action="store_true",
                     help="fields never contain line breaks: let Spark split large files")
+    ap.add_argument("--rules", help="selector rules as JSON (default: built-in page rules)")
     ap.add_argument("--extra-prices", action="store_true",
                     help="add fee, average and total price columns")
     ap.add_argument("--ordered", action="store_true",
@@ -42,7 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     multi_line = not args.single_line_manifest
     requests = read_manifest(spark, args.manifest, multi_line=multi_line)
     captures = read_captures(spark, args.captures, args.captures_format)
-    out = run_rate_shop(requests, captures, DEFAULT_LAYOUTS, args.run_date,
+    layouts = load_layouts(args.rules) if args.rules else DEFAULT_LAYOUTS
+    out = run_rate_shop(requests, captures, layouts, args.run_date,
                         extra_prices=args.extra_prices)
     paths = write_outputs(out, args.out, args.run_date, ordered=args.ordered)
     retry = f"{args.out.rstrip('/')}/reattempt_manifest_{args.run_date}"

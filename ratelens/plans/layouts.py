@@ -9,7 +9,7 @@ selectors for the markup at hand.
 
 from __future__ import annotations
 
-from ratelens.operators.extract import ParsedLayout
+from ratelens.operators.extract import NativeLayout, ParsedLayout, Test
 from ratelens.operators.parsed import classes
 
 # Class names and ids of the result page.
@@ -35,3 +35,45 @@ LISTING_PAGE = ParsedLayout(
 )
 
 DEFAULT_LAYOUTS = (DETAIL_PAGE, LISTING_PAGE)
+
+
+# ---- rules as files -------------------------------------------------------
+
+def dump_layouts(layouts) -> str:
+    """JSON text of a rule set (``ParsedLayout`` or ``NativeLayout`` values)."""
+    import dataclasses
+    import json
+
+    out = []
+    for lay in layouts:
+        d = dataclasses.asdict(lay)
+        d["engine"] = "native" if isinstance(lay, NativeLayout) else "parsed"
+        out.append(d)
+    return json.dumps(out, indent=2, ensure_ascii=False)
+
+
+def load_layouts(source: str):
+    """Rule set from JSON text or a JSON file path; the inverse of
+    :func:`dump_layouts`.  Missing keys take the defaults."""
+    import json
+    import os
+
+    text = open(source, encoding="utf-8").read() if os.path.exists(source) else source
+    layouts = []
+    for d in json.loads(text):
+        d = dict(d)
+        engine = d.pop("engine", "parsed")
+        if engine == "native":
+            for k in ("present", "not_available", "contact", "listing"):
+                d[k] = tuple(Test(**t) if isinstance(t, dict) else Test(t) for t in d.get(k, ()))
+            if d.get("scope") is not None:
+                d["scope"] = tuple(d["scope"])
+            layouts.append(NativeLayout(**d))
+        elif engine == "parsed":
+            for k in ("present", "not_available", "contact", "listing"):
+                d[k] = tuple(d.get(k, ()))
+            d["block_fields"] = tuple(tuple(x) for x in d.get("block_fields", ()))
+            layouts.append(ParsedLayout(**d))
+        else:
+            raise ValueError(f"unknown rule engine: {engine}")
+    return tuple(layouts)

@@ -95,3 +95,17 @@ def test_udf_matches_python(spark):
         py = parse_page(v, LAYOUTS)
         if py is not None:
             assert list(by[k].names) == py["names"], k
+
+
+def test_rules_round_trip_through_json(tmp_path):
+    from ratelens.plans.layouts import DEFAULT_LAYOUTS, dump_layouts, load_layouts
+    from ratelens.plans.standins import FALLBACK_LAYOUTS
+    assert load_layouts(dump_layouts(DEFAULT_LAYOUTS)) == DEFAULT_LAYOUTS
+    assert load_layouts(dump_layouts(LAYOUTS)) == LAYOUTS
+    assert load_layouts(dump_layouts(FALLBACK_LAYOUTS)) == FALLBACK_LAYOUTS
+    f = tmp_path / "rules.json"
+    f.write_text(dump_layouts(LAYOUTS), encoding="utf-8")
+    rules = load_layouts(str(f))
+    assert parse_page(PAGES["offers"], rules) == parse_page(PAGES["offers"], LAYOUTS)
+    minimal = load_layouts('[{"layout": 1, "names": ".a", "prices": ".b"}]')
+    assert minimal[0].scope is None and minimal[0].present == ()
