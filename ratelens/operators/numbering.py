@@ -24,6 +24,7 @@ window task); give a unique tiebreaker by name if such ties can be large.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,6 +40,9 @@ _CARRY = "_rl_carry"
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 32
+# A partition key is split only if it appears in at least this many bounds
+# (it then holds several buckets' worth of rows).
+HOT_MIN_BOUNDS = 3
 # Up to this many bounds the bucket is a balanced CASE tree (compiled code);
 # beyond, a binary search whose code size does not grow with the bounds.
 TREE_MAX_BOUNDS = 127
@@ -94,6 +98,14 @@ def _numbered(df: DataFrame, part: list[str], order: list[Column | str], name: s
     key_names = part_keys + prefix
     order_keys = [F.col(c) if isinstance(c, str) else c for c in order]
     bounds = _sample_bounds(keyed, key_names, n_buckets) if key_names else []
+    if part_keys and bounds:
+        # A key cut by one or two bounds has at most a few buckets of rows and
+        # fits one task; only keys spanning more are split.  Dropping bounds
+        # keeps the bucketing consistent, and with no such key the plan is a
+        # plain window partitioned by the key.
+        n = len(part_keys)
+        seen = Counter(b[:n] for b in bounds)
+        bounds = [b for b in bounds if seen[b[:n]] >= HOT_MIN_BOUNDS]
     types = {f.name: f.dataType for f in keyed.schema.fields}
     bucketed = keyed.withColumn(_BUCKET, _bucket_expr(key_names, types, bounds, len(part_keys))) \
         if bounds else keyed
