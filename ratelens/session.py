@@ -23,8 +23,11 @@ _REQUIRED = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "ratelens") -> SparkSession:
-    """Return the active session, creating a local one if none exists."""
+                app_name: str = "ratelens", driver_memory: str | None = None) -> SparkSession:
+    """Return the active session, creating a local one if none exists.
+
+    ``driver_memory`` matters in local mode only, where the driver JVM runs
+    the tasks (it must be set before that JVM starts)."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
@@ -33,6 +36,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config(
         "spark.ui.showConsoleProgress", "false")
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in _REQUIRED.items():
