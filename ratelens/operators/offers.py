@@ -102,30 +102,35 @@ def merge_outcomes(*frames: DataFrame) -> DataFrame:
     return out
 
 
+# Header of the legacy result CSV, in order (files in this
+# layout are read by existing consumers of the original job's output).
+LEGACY_COLUMNS = ("hotel_id", "hotel", "agents", "scrape_position", "scrape_date",
+                  "check_in", "check_out", "check_in_search", "check_out_search",
+                  "hoken_base_price", "scrape_base_price", "nights")
+
+
 def legacy_projection(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """The reference's 12 string columns, sentinels in place of NULLs
-    (``keep`` columns first, unchanged)."""
+    """The legacy result CSV: ``LEGACY_COLUMNS``, all strings, sentinel
+    texts in place of NULLs (``keep`` columns first, unchanged)."""
     na, contact = F.lit(NOT_AVAILABLE_TEXT), F.lit(CONTACT_TEXT)
     st = F.col("status")
 
-    def sentinel(c: str, contact_value=None):
-        cv = contact if contact_value is None else contact_value
-        return (F.when(st == NOT_AVAILABLE, na).when(st == CONTACT, cv)
+    def sentinel(c: str):
+        return (F.when(st == NOT_AVAILABLE, na).when(st == CONTACT, contact)
                 .otherwise(F.col(c).cast("string")))
 
-    return df.select(
-        *keep,
-        F.col("hotel_id").cast("string").alias("hotel_id"),
-        F.col("hotel").cast("string").alias("hotel"),
-        F.when(st == NOT_AVAILABLE, na).otherwise(F.col("agent")).alias("agents"),
-        F.when(st == NOT_AVAILABLE, na)
-        .otherwise(F.col("scrape_position").cast("string")).alias("scrape_position"),
-        F.col("scrape_date").cast("string").alias("scrape_date"),
-        F.col("check_in").cast("string").alias("check_in"),
-        F.col("check_out").cast("string").alias("check_out"),
-        sentinel("check_in_search").alias("check_in_search"),
-        sentinel("check_out_search").alias("check_out_search"),
-        F.col("listed_base_price").cast("string").alias("hoken_base_price"),
-        sentinel("scrape_base_price").alias("scrape_base_price"),
-        F.col("nights").cast("string").alias("nights"),
+    values = (
+        F.col("hotel_id").cast("string"),
+        F.col("hotel").cast("string"),
+        F.when(st == NOT_AVAILABLE, na).otherwise(F.col("agent")),
+        F.when(st == NOT_AVAILABLE, na).otherwise(F.col("scrape_position").cast("string")),
+        F.col("scrape_date").cast("string"),
+        F.col("check_in").cast("string"),
+        F.col("check_out").cast("string"),
+        sentinel("check_in_search"),
+        sentinel("check_out_search"),
+        F.col("listed_base_price").cast("string"),
+        sentinel("scrape_base_price"),
+        F.col("nights").cast("string"),
     )
+    return df.select(*keep, *[v.alias(n) for v, n in zip(values, LEGACY_COLUMNS)])

@@ -42,8 +42,8 @@ OFFER_COLS = ["request_id", "hotel_id", "hotel", "agent", "scrape_position", "sc
               "listed_base_price", "scrape_base_price", "scrape_base_price_num", "nights",
               "status"]
 # Manifest fee fields and their output names (optional extra price columns).
-EXTRA_REQUEST_COLS = {"average_price": "hoken_average_price_fees",
-                      "total_price": "hoken_total_price", "fees": "fees"}
+EXTRA_REQUEST_COLS = {"average_price": "listed_average_price_fees",
+                      "total_price": "listed_total_price", "fees": "fees"}
 # Per-seller block fields of the page and their output names.
 EXTRA_PAGE_FIELDS = {"average_price": "scrape_average_price_fees",
                      "total_price": "scrape_total_price"}

@@ -131,7 +131,7 @@ def test_extra_prices_keep_pairing(spark, tmp_dir):
     got = sorted(out.offers.collect(), key=lambda r: r.scrape_position)
     assert [(r.agent, r.scrape_base_price, r.scrape_average_price_fees, r.scrape_total_price)
             for r in got] == [("A $110$220", "100", "110", "220"), ("B", "50", None, None)]
-    assert got[0].hoken_average_price_fees == "$115" and got[0].fees == "$10"
+    assert got[0].listed_average_price_fees == "$115" and got[0].fees == "$10"
     assert str(got[0].scrape_total_price_num) == "220.00"
 
 
