@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--rules", help="selector rules as JSON (default: built-in page rules)")
     ap.add_argument("--extra-prices", action="store_true",
                     help="add fee, average and total price columns")
+    ap.add_argument("--require-dates", action="store_true",
+                    help="a page without the requested check-in date is broken")
     ap.add_argument("--ordered", action="store_true",
                     help="sort the legacy CSV by request and position")
     args = ap.parse_args(argv)
@@ -45,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     captures = read_captures(spark, args.captures, args.captures_format)
     layouts = load_layouts(args.rules) if args.rules else DEFAULT_LAYOUTS
     out = run_rate_shop(requests, captures, layouts, args.run_date,
-                        extra_prices=args.extra_prices)
+                        extra_prices=args.extra_prices, require_dates=args.require_dates)
     paths = write_outputs(out, args.out, args.run_date, ordered=args.ordered)
     retry = f"{args.out.rstrip('/')}/reattempt_manifest_{args.run_date}"
     write_csv(reattempt_manifest(spark, args.manifest, out.reattempt, multi_line=multi_line),

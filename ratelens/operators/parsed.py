@@ -47,7 +47,7 @@ PARSED_TYPE = (
     "not_available:boolean,contact:boolean,is_listing:boolean,"
     "searched_in:string,searched_out:string,"
     "check_in_found:boolean,check_out_found:boolean,"
-    "extras:array<map<string,string>>>"
+    "extras:array<map<string,string>>,labels:array<string>>"
 )
 
 _VOID = frozenset(
@@ -176,6 +176,8 @@ class _Page(HTMLParser):
         self.states = [_State() for _ in rules]
         self.check_in, self.check_out = check_in, check_out
         self.in_found = self.out_found = False
+        self.labels: list[str] = []  # aria-labels of div elements, page order
+        self.label_set: set[str] = set()
         # open elements: (tag, [capture callbacks], invisible)
         self.stack: list[tuple[str, list, bool]] = []
         self.captures: list[list[str]] = []  # text buffers of open captures
@@ -191,6 +193,9 @@ class _Page(HTMLParser):
         amap = {k: (v if v is not None else "") for k, v in attrs}
         classes = frozenset(amap.get("class", "").split())
         label = amap.get("aria-label")
+        if label is not None and tag == "div" and label not in self.label_set:
+            self.label_set.add(label)
+            self.labels.append(label)
         if label is not None:
             if self.check_in is not None and label == self.check_in:
                 self.in_found = True
@@ -359,6 +364,7 @@ def parse_page(html: str | None, layouts: Sequence[ParsedLayout],
             "check_in_found": page.in_found if check_in is not None else None,
             "check_out_found": page.out_found if check_out is not None else None,
             "extras": extras,
+            "labels": page.labels,
         }
     return None
 
@@ -393,7 +399,8 @@ def extract_parsed(df: DataFrame, layouts: Sequence[ParsedLayout], html_col: str
 
 
 _FIELDS = ["layout", "names", "prices", "not_available", "contact", "is_listing",
-           "searched_in", "searched_out", "check_in_found", "check_out_found", "extras"]
+           "searched_in", "searched_out", "check_in_found", "check_out_found", "extras",
+           "labels"]
 
 
 def _to_frame(rows: list) -> pd.DataFrame:

@@ -94,9 +94,14 @@ def latest_capture(extracted: DataFrame) -> DataFrame:
 
 
 def classify_requests(requests: DataFrame, captures: DataFrame,
-                      captured_only: bool = False, extra_cols: Sequence[str] = ()) -> DataFrame:
+                      captured_only: bool = False, extra_cols: Sequence[str] = (),
+                      require_dates: bool = False) -> DataFrame:
     """Every request once, with ``status``, ``reason``, ``n_offers``
-    (only the requests that have a capture when ``captured_only``)."""
+    (only the requests that have a capture when ``captured_only``).
+
+    ``require_dates``: a page without a ``div`` whose ``aria-label`` is the
+    requested check-in date (parser rules) is broken, reason
+    ``dates_not_found``."""
     extra = [F.col(c) if c in requests.columns else F.lit(None).cast("string").alias(c)
              for c in extra_cols]
     malformed = "malformed" if "malformed" in requests.columns else F.lit(False).alias("malformed")
@@ -104,15 +109,23 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
     how = "inner" if captured_only else "left"
     joined = req.join(captures.withColumn("_has", F.lit(True)), "request_id", how)
     classified = classify(joined, page="page", html=None)
+    no_dates = F.lit(False)
+    if require_dates and "labels" in captures.schema["page"].dataType.names:
+        # the page's div aria-labels were collected by the parser, so the
+        # test needs only the narrow extracted row, never the markup
+        no_dates = F.coalesce(
+            F.col("page").isNotNull() & ~F.array_contains("page.labels", F.col("check_in")),
+            F.lit(False))
     fixed_reason = (
         F.when(F.col("malformed"), F.lit("malformed_row"))
         .when(F.col("_has").isNull(), F.lit("no_capture"))
         .when(F.col("html_state").isNotNull(), F.col("html_state"))
+        .when(no_dates, F.lit("dates_not_found"))
     )
     return classified.select(
         *REQUEST_COLS, *extra_cols, "page_id", "captured_at", "page",
         F.when(F.col("malformed") | F.col("_has").isNull(), F.lit(BROKEN))
-        .when(F.col("html_state").isNotNull(), F.lit(BROKEN))
+        .when(F.col("html_state").isNotNull() | no_dates, F.lit(BROKEN))
         .otherwise(F.col("status")).alias("status"),
         F.coalesce(fixed_reason, F.col("reason")).alias("reason"),
     ).withColumn(
@@ -124,7 +137,8 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
 def run_rate_shop(requests: DataFrame, captures: DataFrame,
                   layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
                   run_date: str, cut_lineage: bool = True,
-                  captured_only: bool = False, extra_prices: bool = False) -> RunOutputs:
+                  captured_only: bool = False, extra_prices: bool = False,
+                  require_dates: bool = False) -> RunOutputs:
     """The whole run; nothing is computed until an output is written
     (except the checkpoint of the per-request outcomes when ``cut_lineage``).
 
@@ -132,7 +146,8 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
     average-with-fees and total price read from its block on the page."""
     extracted = extract_captures(captures, layouts)
     extra_cols = list(EXTRA_REQUEST_COLS) if extra_prices else []
-    outcomes = classify_requests(requests, latest_capture(extracted), captured_only, extra_cols)
+    outcomes = classify_requests(requests, latest_capture(extracted), captured_only, extra_cols,
+                                 require_dates)
     if cut_lineage:
         checkpoint_dir(outcomes.sparkSession)
         outcomes = outcomes.checkpoint(eager=True)

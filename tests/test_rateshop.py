@@ -235,3 +235,19 @@ def test_request_ids_unique_across_folders(spark, tmp_dir):
     write_manifest(tmp_dir + "/m/b", [manifest_row(2, "B")])
     ids = [r.request_id for r in read_manifest(spark, tmp_dir + "/m/*/hotels.csv").collect()]
     assert len(set(ids)) == 2 and all(i.endswith("hotels.csv:1") for i in ids)
+
+
+def test_require_dates(spark, tmp_dir):
+    names = ["dates", "offers"]
+    rows = [manifest_row(1, "A", ci="May 1, 2024"), manifest_row(2, "B", ci="May 1, 2024")]
+    path = write_manifest(tmp_dir + "/m", rows)
+    caps = _captures(spark, [(f"hotels.csv:{i + 1}", n) for i, n in enumerate(names)])
+    req = read_manifest(spark, path)
+    loose = {r.request_id: r.status for r in
+             run_rate_shop(req, caps, LAYOUTS, "2024-05-01").outcomes.collect()}
+    strict = {r.request_id: (r.status, r.reason) for r in
+              run_rate_shop(req, caps, LAYOUTS, "2024-05-01", require_dates=True)
+              .outcomes.collect()}
+    assert loose == {"hotels.csv:1": "offers", "hotels.csv:2": "offers"}
+    assert strict == {"hotels.csv:1": ("offers", None),
+                      "hotels.csv:2": ("broken", "dates_not_found")}
