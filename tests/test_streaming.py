@@ -30,3 +30,20 @@ def test_stream_over_capture_files(spark, tmp_dir):
     assert latest == {"hotels.csv:1": "offers", "hotels.csv:2": "offers"}
     offers = spark.read.parquet(tmp_dir + "/out/offers/run_date=2024-05-01")
     assert offers.filter("request_id = 'hotels.csv:2'").count() == 3
+
+
+def test_replayed_epochs_overwrite_not_duplicate(spark, tmp_dir):
+    path = write_manifest(tmp_dir + "/m", [manifest_row(1, "H1")])
+    requests = read_manifest(spark, path)
+    schema = ("request_id string, page_id bigint, url string, html string, "
+              "captured_at timestamp_ntz")
+    spark.createDataFrame([("hotels.csv:1", 1, "u", PAGES["offers"], dt.datetime(2024, 1, 1))],
+                          schema).write.parquet(tmp_dir + "/captures/a")
+    for attempt in ("first", "replay"):  # a lost checkpoint replays epoch 0
+        q = stream_rate_shop(spark, requests, tmp_dir + "/captures/*", LAYOUTS,
+                             tmp_dir + "/out", "2024-05-01",
+                             checkpoint_location=f"{tmp_dir}/ckpt-{attempt}")
+        q.awaitTermination(180)
+        assert q.exception() is None
+    offers = spark.read.parquet(tmp_dir + "/out/offers/run_date=2024-05-01")
+    assert offers.count() == 3
