@@ -39,8 +39,10 @@ def stream_rate_shop(spark: SparkSession, requests: DataFrame, capture_dir: str,
                      layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
                      out_dir: str, run_date: str, checkpoint_location: str | None = None,
                      available_now: bool = True, max_files_per_trigger: int | None = None,
-                     query_name: str = "rate_shop") -> StreamingQuery:
-    """Start the incremental run; returns the running query."""
+                     query_name: str = "rate_shop", extra_prices: bool = False,
+                     require_dates: bool = False) -> StreamingQuery:
+    """Start the incremental run; returns the running query.  ``extra_prices``
+    and ``require_dates`` are passed to :func:`run_rate_shop`."""
     reader = spark.readStream.schema(CAPTURE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -49,7 +51,8 @@ def stream_rate_shop(spark: SparkSession, requests: DataFrame, capture_dir: str,
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         out = run_rate_shop(requests, batch, layouts, run_date, cut_lineage=True,
-                            captured_only=True)
+                            captured_only=True, extra_prices=extra_prices,
+                            require_dates=require_dates)
         part = f"run_date={run_date}/epoch={epoch_id}"
         out.outcomes.drop("page").write.mode("overwrite").parquet(f"{base}/outcomes/{part}")
         out.offers.write.mode("overwrite").parquet(f"{base}/offers/{part}")
