@@ -6,9 +6,12 @@ table to one task.  Both break when one key holds a large share of the rows.
 
 Here rows are first given a *range bucket* over ``(k, o)``: bucket bounds are
 picked from a bounded sample, and the bucket of a row is a deterministic
-expression (a balanced ``CASE`` tree of comparisons against the bounds), so
-a retried task or a second branch of the plan always computes the same
-bucket.  A hot key spans several buckets, so the window partitioned by
+expression (a balanced ``CASE`` tree of comparisons against the bounds, or a
+binary search over one array literal when there are many), so a retried task
+or a second branch of the plan always computes the same bucket.  Only keys
+that span several bounds (hot keys) keep their bounds; a hash-set test sends
+every other row to bucket 0, and with no hot key the plan is a plain window.
+A hot key spans several buckets, so the window partitioned by
 ``(bucket, k)`` splits it across tasks.  The rows of a key that fall in
 earlier buckets are added back as a *carry*; only keys that equal a bucket
 bound can span buckets, so the carry table has at most a few rows per
@@ -35,8 +38,8 @@ _BUCKET = "_rl_bucket"
 _CARRY = "_rl_carry"
 
 # Rows per bucket aimed at (about what one task numbers comfortably; smaller
-# inputs get one bucket, i.e. a plain window), and the most buckets the CASE
-# tree may hold.
+# inputs get one bucket, i.e. a plain window), the most buckets, and the
+# sample drawn per bucket to place the bounds.
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 32
