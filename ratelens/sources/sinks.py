@@ -5,7 +5,8 @@
   one row;
 * re-attempts: CSV with a header, written even when empty, so "nothing to
   retry" is visible;
-* summary: parquet and CSV.
+* summary and per-request outcomes (status, reason, offer count, capture
+  used): parquet.
 
 CSV is written with ``"`` as the escape character so that quotes inside a
 field are doubled (what Python's ``csv`` module and pandas read back),
@@ -63,4 +64,9 @@ def write_outputs(outputs: RunOutputs, out_dir: str, run_date: str,
     p = f"{base}/summary/run_date={run_date}"
     outputs.summary.write.mode("overwrite").parquet(p)
     paths["summary"] = p
+    # every request once, with its outcome: the audit trail behind the summary
+    p = f"{base}/outcomes/run_date={run_date}"
+    outputs.outcomes.select("request_id", "hotel_id", "status", "reason", "n_offers",
+                            "page_id", "captured_at").write.mode("overwrite").parquet(p)
+    paths["outcomes"] = p
     return paths

@@ -99,6 +99,8 @@ def test_run_end_to_end(spark, tmp_dir):
     assert summary["offers"][1] == 3 + 1 + 0 + 2
 
     paths = write_outputs(out, tmp_dir + "/out", "2024-05-01")
+    audit = spark.read.parquet(paths["outcomes"])
+    assert audit.count() == len(rows) and audit.filter("status = 'broken'").count() == len(broken)
     back = read_csv(spark, paths["final_data"], "hotel_id string, hotel string, agents string, "
                     "scrape_position string, scrape_date string, check_in string, "
                     "check_out string, check_in_search string, check_out_search string, "
