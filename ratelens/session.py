@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -48,11 +49,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per Spark application.
+
+    Functions that run in Python workers are pickled by reference, so the
+    workers must be able to import the package; it need not be installed on
+    the cluster's machines.  The files go through Spark's own file server.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_ratelens_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="ratelens-ship-"), "ratelens_package.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith((".py", ".json")):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    sc.addPyFile(target)
+    sc._ratelens_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
-    Read from ``spark.checkpoint.dir``; only when the cluster names none
-    (local runs, tests) a fresh local folder is created and registered.
+    Read from ``spark.checkpoint.dir``; only a local master (whose tasks run
+    on this machine) may go without: a fresh local folder is then created and
+    registered.  On a cluster a missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -62,6 +86,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ratelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     try:
