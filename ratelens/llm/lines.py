@@ -53,7 +53,8 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source",
                      text_col: str = "text", ratio: float = 0.02, min_pages: int = 3,
-                     count_cols: tuple[str, str] | None = None) -> DataFrame:
+                     count_cols: tuple[str, str] | None = None,
+                     length_col: str | None = None) -> DataFrame:
     """``docs`` with the boilerplate lines of each row's host taken out of
     ``text_col``; every row and every other column stays.
 
@@ -63,6 +64,8 @@ def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", host_col: str = "s
     are; repeated rows and repeated ids are each treated alike, since the
     lines to drop depend on host and text alone.  An empty table stays empty.
     ``count_cols`` names two more columns: lines, and lines dropped.
+    ``length_col`` names a column of ``docs`` that is set to the text's length
+    wherever lines were dropped.
     """
     common = boilerplate(docs, host_col, text_col, ratio, min_pages)
     # which lines go depends on a page's host and content: look each content up once
@@ -84,7 +87,10 @@ def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", host_col: str = "s
     kept = F.filter(lines, lambda s: ~F.array_contains(F.col("__drop"), _line_key(s)))
     drops = F.col("__drop").isNotNull() & F.exists(kept, lambda s: F.btrim(s, F.lit(BLANKS)) != "")
     text = F.when(drops, F.array_join(kept, "\n")).otherwise(F.col(text_col))
-    columns = [text.alias(c) if c == text_col else docs[c] for c in docs.columns]
+    size = F.when(drops, F.length(text).cast(docs.schema[length_col].dataType)).otherwise(
+        F.col(length_col)) if length_col else None
+    columns = [text.alias(c) if c == text_col else size.alias(c) if c == length_col else docs[c]
+               for c in docs.columns]
     if count_cols:
         total, gone = count_cols
         n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long")

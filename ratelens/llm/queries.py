@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, lines, simhash, winnow
+from ratelens.llm import bpe, lines, simhash, toxicity, winnow
 from ratelens.sources.tables import read_table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S: near-duplicate groups of all documents."""
+    """Near-duplicate groups of all documents."""
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
@@ -39,7 +39,20 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                                 read_table(spark, sf_dir, "benchmark"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a model of the labelled ones."""
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's last stage over all documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES = {
+    "pipeline": pipeline,
+    "op10_toxicity": op10_toxicity,
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
