@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, lines, simhash, toxicity, winnow
+from ratelens.llm import bpe, chat, ego, lines, pages, simhash, toxicity, winnow
 from ratelens.sources.tables import read_table
 
 
@@ -14,6 +14,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pages.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its site's boilerplate lines."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -21,6 +26,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_lines", "n_dropped", F.md5("text").alias("text_md5")))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate groups of all embeddings."""
+    return ego.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, read back from the packed prefix tree; conversation
+    -7 holds control strings only."""
+    said = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], said.schema)
+    return chat.read_conversations(*chat.prefix_tree(said.unionAll(more)))
+
+
 def tokenizer() -> tuple[str, str]:
     """Path of the vocabulary and the pattern of its pieces."""
     import public_tokenizers
@@ -51,6 +70,9 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op4_html_extraction": op4_html_extraction,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_chat_formatting": op7_chat_formatting,
     "pipeline": pipeline,
     "op10_toxicity": op10_toxicity,
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
