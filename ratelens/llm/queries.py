@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, chat, ego, lines, pages, simhash, toxicity, winnow
+from ratelens.llm import bpe, chaining, chat, ego, lines, pages, secrets, simhash, toxicity, winnow
 from ratelens.sources.tables import read_table
 
 
@@ -14,6 +14,19 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate in the documents, judged by the forest; the candidate
+    itself is given as a digest."""
+    found = secrets.secrets(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "start", F.length("candidate").cast("long").alias("length"),
+                        F.sha2("candidate", 256).alias("candidate_sha256"), "probability", "is_secret")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share with an earlier one, edited or not."""
+    return chaining.shared_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return pages.main_text(read_table(spark, sf_dir, "pages"))
@@ -70,6 +83,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_html_extraction": op4_html_extraction,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
