@@ -19,12 +19,10 @@ from ratelens.functions.html import (
     attr_present,
     extract_all,
     extract_first,
-    has_match,
     region,
 )
 
 __all__ = [
     "clean_price", "fold_newlines", "price_decimal", "search_key", "stay_date", "transliterate",
     "drop_blanks", "distinct_values", "nth", "pair_by_index",
-    "attr_present", "extract_all", "extract_first", "has_match", "region",
 ]

@@ -9,8 +9,9 @@ ColumnOrName = Column | str
 
 
 def drop_blanks(col: ColumnOrName) -> Column:
-    """Remove empty entries; order and duplicates are kept."""
-    return F.filter(_col(col), lambda x: x != F.lit(""))
+    """Remove empty entries and entries of white space only; order and
+    duplicates are kept."""
+    return F.filter(_col(col), lambda x: F.btrim(x, F.lit(" \t\n\r\f")) != F.lit(""))
 
 
 def distinct_values(col: ColumnOrName) -> Column:

@@ -28,12 +28,7 @@ def extract_first(html: ColumnOrName, pattern: str, group: int = 1) -> Column:
 
 def region(html: ColumnOrName, start: str, end: str) -> Column:
     """Markup between the first ``start`` and the next ``end`` ('' if absent)."""
-    return F.regexp_extract(_col(html), f"{start}(.*?){end}", 1)
-
-
-def has_match(html: ColumnOrName, pattern: str) -> Column:
-    """True when ``pattern`` occurs anywhere (partial match)."""
-    return _col(html).rlike(pattern)
+    return F.regexp_extract(_col(html), f"(?s){start}(.*?){end}", 1)
 
 
 def attr_present(html: ColumnOrName, prefix: str, value: ColumnOrName, suffix: str) -> Column:

@@ -14,62 +14,93 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Latin letters that have no canonical decomposition, with the
-# ASCII spelling conventionally used for them by ASCII transliteration.
+# Letters that have no canonical decomposition, with the ASCII
+# spelling conventionally used for them; capitals follow by rule.
 SPECIAL_LETTERS = {
-    "Æ": "AE", "æ": "ae", "Ð": "D", "ð": "d", "Ø": "O", "ø": "o",
-    "Þ": "Th", "þ": "th", "ß": "ss", "Đ": "D", "đ": "d", "Ħ": "H",
-    "ħ": "h", "ı": "i", "ĸ": "q", "Ł": "L", "ł": "l", "Ŋ": "NG",
-    "ŋ": "ng", "Œ": "OE", "œ": "oe", "Ŧ": "T", "ŧ": "t",
+    "æ": "ae", "ð": "d", "ø": "o", "þ": "th", "ß": "ss", "đ": "d", "ħ": "h", "ı": "i", "ĸ": "q", "ł": "l",
+    "ŋ": "ng", "œ": "oe", "ŧ": "t", "ə": "e", "ƒ": "f", "ơ": "o", "ư": "u",
 }
+GREEK = {
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k",
+    "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t",
+    "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+}
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i",
+    "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u",
+    "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "", "ы": "y", "ь": "", "э": "e",
+    "ю": "iu", "я": "ia", "ё": "io", "є": "ie", "і": "i", "ї": "yi", "ґ": "g", "ђ": "dj", "ј": "j",
+    "љ": "lj", "њ": "nj", "ћ": "tsh", "ў": "u", "џ": "dzh",
+}
+PUNCTUATION = {
+    "\u00a0": " ", "\u2019": "'", "\u2018": "'", "\u201c": '"', "\u201d": '"', "\u201e": ",,", "\u201a": ",",
+    "\u2013": "-", "\u2014": "--", "\u2010": "-", "\u2011": "-", "\u2026": "...", "\u2022": "*", "\u20ac": "EUR",
+    "\u00a3": "PS", "\u00ab": "<<", "\u00bb": ">>", "\u00b7": "*", "\u00b0": "deg", "\u00a9": "(c)",
+    "\u00ae": "(r)", "\u2122": "tm", "\u2032": "'", "\u2009": " ", "\u200b": "", "\ufeff": "",
+}
+
+# Blocks covered: Latin-1 Supplement, Latin Extended-A and -B, combining
+# marks, Greek, Cyrillic, Latin Extended Additional, Greek Extended.
+_RANGES = ((0x00C0, 0x024F), (0x0300, 0x036F), (0x0370, 0x03FF), (0x0400, 0x04FF), (0x1E00, 0x1EFF),
+           (0x1F00, 0x1FFF))
+
 
-# Letter blocks covered natively: Latin-1 Supplement and Latin Extended-A.
-_NATIVE_RANGE = (0x00C0, 0x017F)
+def _letter(ch: str, table: dict[str, str]) -> str | None:
+    """ASCII spelling of one letter: from the table, as the capital of a
+    letter there, or from its Unicode decomposition."""
+    if ch in table:
+        return table[ch]
+    low = ch.lower()
+    if len(low) == 1 and low != ch and low in table:
+        return table[low].capitalize()
+    base = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+    if base == ch or not base:
+        return None if base else ""
+    parts = [c if ord(c) < 128 and c.isalpha() else _letter(c, table) for c in base]
+    return "".join(p for p in parts if p) or None
 
 
 @lru_cache(maxsize=1)
 def latin_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Build the transliteration table from Unicode decomposition.
+    """Build the transliteration table from Unicode decomposition and the
+    letter tables above.
 
     Returns ``(from_chars, to_chars, multi)`` where the first two feed one
-    ``translate`` call (one letter to one letter) and ``multi`` lists the
-    letters that expand to several ASCII letters (fed to ``replace``).
+    ``translate`` call (one letter to one letter, or to nothing: those come
+    last) and ``multi`` lists the characters that expand to several (fed to
+    ``replace``).
     """
-    src, dst, multi = [], [], []
-    for code in range(_NATIVE_RANGE[0], _NATIVE_RANGE[1] + 1):
-        ch = chr(code)
-        if not unicodedata.category(ch).startswith("L"):
-            continue
-        if ch in SPECIAL_LETTERS:
-            ascii_form = SPECIAL_LETTERS[ch]
-        else:
-            base = unicodedata.normalize("NFKD", ch)
-            ascii_form = "".join(c for c in base if ord(c) < 128 and c.isalpha())
-        if not ascii_form:
-            continue
-        if len(ascii_form) == 1:
-            src.append(ch)
-            dst.append(ascii_form)
-        else:
-            multi.append((ch, ascii_form))
-    return "".join(src), "".join(dst), tuple(multi)
+    table = {**SPECIAL_LETTERS, **GREEK, **CYRILLIC}
+    found = dict(PUNCTUATION)
+    for first, last in _RANGES:
+        for code in range(first, last + 1):
+            ch = chr(code)
+            kind = unicodedata.category(ch)
+            if kind == "Mn":
+                found[ch] = ""
+            elif kind.startswith("L") and (form := _letter(ch, table)) is not None:
+                found[ch] = form
+    found |= {"Æ": "AE", "Œ": "OE", "Ŋ": "NG"}  # fixed values: capitals written in capitals
+    single = {c: f for c, f in found.items() if len(f) == 1}
+    gone = [c for c, f in found.items() if not f]
+    multi = tuple((c, f) for c, f in found.items() if len(f) > 1)
+    return "".join([*single, *gone]), "".join(single.values()), multi
 
 
 def transliterate(col: ColumnOrName) -> Column:
-    """ASCII transliteration of Latin text (``Hôtel Größe`` → ``Hotel Grosse``).
+    """ASCII transliteration (``Hôtel Größe`` → ``Hotel Grosse``).
 
-    Exact for the Latin-1 and Latin Extended-A letters; other characters
-    pass through unchanged (see ``transliterate_any`` for other scripts).
+    Covers Latin letters with marks (composed or decomposed), Greek, Cyrillic
+    and common punctuation; other characters pass through unchanged.
     """
     src, dst, multi = latin_table()
     c = _col(col)
     out = F.translate(c, src, dst)
-    if multi:
-        expanded = out
-        for ch, ascii_form in multi:
-            expanded = F.replace(expanded, F.lit(ch), F.lit(ascii_form))
-        letters = "".join(ch for ch, _ in multi)
-        out = F.when(c.rlike(f"[{letters}]"), expanded).otherwise(out)
+    expanded = out
+    for ch, ascii_form in multi:
+        expanded = F.replace(expanded, F.lit(ch), F.lit(ascii_form))
+    letters = "".join(ch for ch, _ in multi)
+    out = F.when(c.rlike(f"[{letters}]"), expanded).otherwise(out)
     # Pure-ASCII text (most names) is returned as it is after one scan.
     return F.when(c.rlike("[^\\x00-\\x7F]"), out).otherwise(c)
 

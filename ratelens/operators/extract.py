@@ -85,7 +85,7 @@ def _layout_struct(rules: NativeLayout, html: Column) -> Column:
     body = html
     if rules.scope is not None:
         start, end = rules.scope
-        body = F.regexp_extract(html, f"{start}(.*?){end}", 1)
+        body = F.regexp_extract(html, f"(?s){start}(.*?){end}", 1)
     names = F.regexp_extract_all(body, F.lit(rules.names), F.lit(1))
     prices = F.regexp_extract_all(body, F.lit(rules.prices), F.lit(1))
     if rules.fold_names:
@@ -128,10 +128,11 @@ def extract_native(df: DataFrame, layouts: Sequence[NativeLayout], html_col: str
 class ParsedLayout:
     """Class/id/attribute selector rules of one layout, for the HTML parser.
 
-    A selector is a compound of ``tag``, ``.class`` tokens, ``#id`` and
-    ``[attr=value]`` / ``[attr]`` parts without combinators, e.g.
+    A selector is a compound of ``tag``, ``.class`` tokens, ``#id``,
+    ``[attr=value]`` / ``[attr]`` and ``:nth(n)`` parts, e.g.
     ``div.NiGhzc`` or ``.MEVoGd.AdWm1c``; a multi-class value such as
-    ``"MEVoGd AdWm1c"`` given in ``classes`` form means all tokens.
+    ``"MEVoGd AdWm1c"`` given in ``classes`` form means all tokens.  Compounds
+    may be joined by ``>`` (child) and ``>>`` (descendant).
     ``scope`` restricts names and prices to descendants of its first match.
     """
 

@@ -3,7 +3,10 @@
 Precedence (first match wins): no capture or no usable layout → broken;
 not available → ``not_available``; contact the property → ``contact``;
 at least as many prices as sellers → ``offers``; otherwise broken because
-of too few prices.  Errors are row values (``reason``), never job failures,
+of too few prices.  A page without any flag and any seller keeps the
+outcome ``offers`` with no rows, but has the reason ``no_sellers``, which the
+summary counts apart: a sold-out or changed page is never a silent success.
+Errors are row values (``reason``), never job failures,
 and a broken request never emits offers (all or nothing per request).
 """
 
@@ -16,6 +19,7 @@ OFFERS = "offers"
 NOT_AVAILABLE = "not_available"
 CONTACT = "contact"
 BROKEN = "broken"
+NO_SELLERS = "no_sellers"
 STATUSES = (OFFERS, NOT_AVAILABLE, CONTACT, BROKEN)
 
 # The sentinel texts of the legacy output.
@@ -38,8 +42,8 @@ def status_expr(page: Column, html: Column | None = None) -> Column:
 
 
 def reason_expr(page: Column, html: Column | None = None, has_capture: Column | None = None) -> Column:
-    """Why a request is broken (NULL for the other outcomes); the first
-    failing check wins."""
+    """Why a request is broken, or has no sellers (NULL for the other
+    outcomes); the first failing check wins."""
     checks: list[tuple[Column, Column]] = []
     if has_capture is not None:
         checks.append((~has_capture, F.lit("no_capture")))
@@ -50,6 +54,7 @@ def reason_expr(page: Column, html: Column | None = None, has_capture: Column |
         (page.isNull(), F.lit("no_layout")),
         (page["not_available"] | page["contact"], F.lit(None).cast("string")),
         (F.size(page["prices"]) < F.size(page["names"]), F.lit("too_few_prices")),
+        (F.size(page["names"]) == 0, F.lit(NO_SELLERS)),
     ]
     cond, value = checks[0]
     out = F.when(cond, value)
@@ -69,7 +74,7 @@ def classify(df: DataFrame, page: str = "page", html: str | None = "html",
         status = F.when(~cap, F.lit(BROKEN)).otherwise(status)
     return (
         df.withColumn("status", status)
-        .withColumn("reason", F.when(F.col("status") == BROKEN, reason_expr(p, h, cap)))
+        .withColumn("reason", F.when(F.col("status").isin(BROKEN, OFFERS), reason_expr(p, h, cap)))
         .withColumn(
             "n_offers",
             F.when(F.col("status") == OFFERS, F.size(p["names"])).otherwise(F.lit(0)).cast("int"),

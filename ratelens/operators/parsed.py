@@ -72,6 +72,7 @@ class Selector:
     classes: frozenset = frozenset()
     id: str | None = None
     attrs: tuple = ()
+    nth: int | None = None  # 1-based place among the parent's children of the same tag
 
     def matches(self, tag: str, attrs: dict, classes: frozenset) -> bool:
         if self.tag is not None and self.tag != tag:
@@ -87,18 +88,21 @@ class Selector:
 
 
 _SEL_TAG = re.compile(r"\s*([A-Za-z][A-Za-z0-9-]*)")
+_SEL_NTH = re.compile(r":nth\((\d+)\)")
 _SEL_PART = re.compile(
     r"""\s*(?:([.#])([A-Za-z0-9_-]+)|\[\s*([^\]=\s]+)\s*(?:=\s*["']?([^\]"']*)["']?\s*)?\])""")
 
 
 def selector(text: str) -> Selector:
     """A compound selector: optional tag, then ``.class``, ``#id``,
-    ``[attr]`` and ``[attr=value]`` parts, all on one element.
+    ``[attr]`` and ``[attr=value]`` parts, all on one element, and perhaps
+    ``:nth(n)``.
 
     ``div.NiGhzc``, ``.MEVoGd.AdWm1c``, ``#prices``, ``div[aria-label=x]``.
-    Whitespace between parts is ignored (there are no descendant
-    combinators: scoping is the layout's ``scope`` rule)."""
+    Whitespace between parts is ignored; :class:`Path` joins compounds."""
     tag, classes, ident, attrs = None, set(), None, []
+    nth = _SEL_NTH.search(text)
+    text = _SEL_NTH.sub("", text)
     pos = 0
     m = _SEL_TAG.match(text)
     if m:
@@ -117,7 +121,30 @@ def selector(text: str) -> Selector:
         pos = m.end()
     if tag is None and not classes and ident is None and not attrs:
         raise ValueError(f"empty selector: {text!r}")
-    return Selector(tag, frozenset(classes), ident, tuple(attrs))
+    return Selector(tag, frozenset(classes), ident, tuple(attrs), int(nth.group(1)) if nth else None)
+
+
+class Path:
+    """Compound selectors joined by ``>`` (child) or ``>>`` (descendant);
+    ``:nth(n)`` asks for the n-th child of its tag.  ``#prices >> section >
+    div:nth(2)`` is the second ``div`` child of a section anywhere below the
+    element ``prices``."""
+
+    def __init__(self, text: str):
+        parts = re.split(r"(>>|>)(?=(?:[^\[\]]|\[[^\]]*\])*$)", text)
+        self.steps = [selector(p) for p in parts[::2]]
+        self.deep = [sign == ">>" for sign in parts[1::2]]
+        self.single = len(self.steps) == 1
+
+    def reached(self, tag, attrs, classes, place, parent, above) -> int:
+        """Bits of the steps that end at an element; ``parent`` and ``above``
+        are the bits of its parent and of all its ancestors."""
+        bits = 0
+        for i, step in enumerate(self.steps):
+            before = 1 if not i else (above if self.deep[i - 1] else parent) >> (i - 1) & 1
+            if before and (step.nth is None or step.nth == place) and step.matches(tag, attrs, classes):
+                bits |= 1 << i
+        return bits
 
 
 def classes(text: str) -> str:
@@ -134,21 +161,29 @@ def _text(parts: list[str]) -> str:
 
 
 class _Rules:
-    """Compiled selectors of one layout."""
+    """Compiled selectors of one layout, made once per task."""
 
     def __init__(self, layout: ParsedLayout):
         self.layout = layout.layout
-        self.names = selector(layout.names)
-        self.prices = selector(layout.prices)
-        self.present = [selector(s) for s in layout.present]
-        self.scope = selector(layout.scope) if layout.scope else None
-        self.not_available = [selector(s) for s in layout.not_available]
-        self.contact = [selector(s) for s in layout.contact]
-        self.listing = [selector(s) for s in layout.listing]
-        self.searched_in = selector(layout.searched_in) if layout.searched_in else None
-        self.searched_out = selector(layout.searched_out) if layout.searched_out else None
-        self.block = selector(layout.block) if layout.block else None
-        self.block_fields = [(k, selector(v)) for k, v in layout.block_fields]
+        self.paths: list[Path] = []
+
+        def add(text):
+            if not text:
+                return None
+            self.paths.append(Path(text))
+            return len(self.paths) - 1
+        self.names = add(layout.names)
+        self.prices = add(layout.prices)
+        self.present = [add(s) for s in layout.present]
+        self.scope = add(layout.scope)
+        self.not_available = [add(s) for s in layout.not_available]
+        self.contact = [add(s) for s in layout.contact]
+        self.listing = [add(s) for s in layout.listing]
+        self.searched_in = add(layout.searched_in)
+        self.searched_out = add(layout.searched_out)
+        self.block = add(layout.block)
+        self.block_fields = [(k, add(v)) for k, v in layout.block_fields]
+        self.same_block = layout.block is not None and layout.block == layout.names
 
 
 class _State:
@@ -167,36 +202,62 @@ class _State:
         self.scope_done = False
         self.blocks: list = []
         self.block_depth: int | None = None
+        self.name_buffers: dict = {}  # open captures of seller names
+        self.price_blocks: list = []  # which block each price stands in
+
+
+#: Elements whose start and end break the line.
+_BLOCKS = frozenset(("p", "div", "li", "tr", "section", "article", "h1", "h2", "h3", "h4", "h5", "h6",
+                     "ul", "ol", "table", "header", "footer", "nav", "main"))
+
+
+class _Buffer(list):
+    """Text of an open capture; compared by identity."""
+
+    __slots__ = ("muted",)
+
+    def __init__(self):
+        super().__init__()
+        self.muted = 0  # open block fields whose text isn't the seller's name
 
 
 class _Page(HTMLParser):
-    def __init__(self, rules: list[_Rules], check_in: str | None, check_out: str | None):
+    def __init__(self, rules: list[_Rules], check_in: str | None, check_out: str | None,
+                 keep_labels: bool = False):
         super().__init__(convert_charrefs=True)
         self.rules = rules
         self.states = [_State() for _ in rules]
         self.check_in, self.check_out = check_in, check_out
         self.in_found = self.out_found = False
-        self.labels: list[str] = []  # aria-labels of div elements, page order
-        self.label_set: set[str] = set()
-        # open elements: (tag, [capture callbacks], invisible)
-        self.stack: list[tuple[str, list, bool]] = []
-        self.captures: list[list[str]] = []  # text buffers of open captures
+        self.keep_labels = keep_labels
+        self.labels: dict[str, None] = {}  # aria-labels of div elements, page order
+        # open elements: (tag, [captures], invisible, child counts, [step bits], [bits of all above])
+        self.stack: list[tuple] = []
+        self.open: dict[str, int] = {}  # how many elements of a tag are open
+        self.captures: dict[int, _Buffer] = {}  # open captures by identity, oldest first
+        self.root_counts: dict[str, int] = {}
         self.hidden = 0
 
     # capture: a buffer plus a function storing the final text
-    def _open_capture(self, store) -> tuple:
-        buf: list[str] = []
-        self.captures.append(buf)
-        return (buf, store)
+    def _open_capture(self, store, mutes=()) -> tuple:
+        for other in mutes:  # the seller's name goes on after this field
+            other.muted += 1
+        buf = _Buffer()
+        self.captures[id(buf)] = buf
+        return (buf, store, mutes)
+
+    def _newline(self):
+        for buf in self.captures.values():
+            if not buf.muted:
+                buf.append("\n")
 
     def handle_starttag(self, tag, attrs):
         amap = {k: (v if v is not None else "") for k, v in attrs}
         classes = frozenset(amap.get("class", "").split())
         label = amap.get("aria-label")
-        if label is not None and tag == "div" and label not in self.label_set:
-            self.label_set.add(label)
-            self.labels.append(label)
         if label is not None:
+            if self.keep_labels and tag == "div":
+                self.labels[label] = None
             if self.check_in is not None and label == self.check_in:
                 self.in_found = True
             if self.check_out is not None and label == self.check_out:
@@ -205,24 +266,34 @@ class _Page(HTMLParser):
             self._implied_end("p")
         if tag == "li":
             self._implied_end("li", stop=frozenset(("ul", "ol")) | _P_SCOPE)
+        counts = self.stack[-1][3] if self.stack else self.root_counts
+        counts[tag] = place = counts.get(tag, 0) + 1
+        parents, aboves = (self.stack[-1][4], self.stack[-1][5]) if self.stack else (None, None)
+        bits, above = [], []
+        for k, r in enumerate(self.rules):
+            row = [p.reached(tag, amap, classes, place, parents[k][j] if parents else 0, aboves[k][j] if aboves else 0)
+                   for j, p in enumerate(r.paths)]
+            bits.append(row)
+            above.append([x | (aboves[k][j] if aboves else 0) for j, x in enumerate(row)])
         if tag in _VOID:
             if tag == "br":
-                for buf in self.captures:
-                    buf.append("\n")
-            self._flags(tag, amap, classes, depth=None)
+                self._newline()
+            self._flags(bits, depth=None)
             return
+        if tag in _BLOCKS:
+            self._newline()
         depth = len(self.stack)
-        opened = self._flags(tag, amap, classes, depth)
+        opened = self._flags(bits, depth)
         invisible = (tag in _INVISIBLE or "hidden" in amap
                      or bool(_HIDDEN_STYLE.search(amap.get("style", ""))))
         if invisible:
             self.hidden += 1
-        if tag in ("p", "div", "li", "tr", "section", "article", "h1", "h2", "h3"):
-            for buf in self.captures:
-                buf.append("\n")
-        self.stack.append((tag, opened, invisible))
+        self.stack.append((tag, opened, invisible, {}, bits, above))
+        self.open[tag] = self.open.get(tag, 0) + 1
 
     def _implied_end(self, tag, stop=_P_SCOPE):
+        if not self.open.get(tag):
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             t = self.stack[i][0]
             if t == tag:
@@ -236,33 +307,31 @@ class _Page(HTMLParser):
         if tag not in _VOID:
             self.handle_endtag(tag)
 
-    def _flags(self, tag, amap, classes, depth):
+    def _flags(self, bits, depth):
         opened = []
-        for r, st in zip(self.rules, self.states):
-            m = lambda sel: sel.matches(tag, amap, classes)
-            if not st.present and any(m(s) for s in r.present):
-                st.present = True
-            if not st.not_available and any(m(s) for s in r.not_available):
-                st.not_available = True
-            if not st.contact and any(m(s) for s in r.contact):
-                st.contact = True
-            if not st.listing and any(m(s) for s in r.listing):
-                st.listing = True
+        for r, st, row in zip(self.rules, self.states, bits):
+            def m(j, r=r, row=row):
+                return j is not None and bool(row[j] >> (len(r.paths[j].steps) - 1) & 1)
+            st.present = st.present or any(map(m, r.present))
+            st.not_available = st.not_available or any(map(m, r.not_available))
+            st.contact = st.contact or any(map(m, r.contact))
+            st.listing = st.listing or any(map(m, r.listing))
             if depth is None:
                 continue
-            if r.scope is not None and st.scope_depth is None and not st.scope_done \
-                    and m(r.scope):
+            if r.scope is not None and st.scope_depth is None and not st.scope_done and m(r.scope):
                 st.scope_depth = depth
             in_scope = r.scope is None or st.scope_depth is not None
             if in_scope and m(r.names):
                 st.names.append(None)
                 opened.append(self._open_capture(_setter(st.names, len(st.names) - 1)))
+                st.name_buffers[id(opened[-1][0])] = opened[-1][0]
             if in_scope and m(r.prices):
                 st.prices.append(None)
+                st.price_blocks.append(len(st.blocks) - 1 if st.block_depth is not None else None)
                 opened.append(self._open_capture(_setter(st.prices, len(st.prices) - 1)))
-            if r.searched_in is not None and st.searched_in is None and m(r.searched_in):
+            if st.searched_in is None and m(r.searched_in):
                 opened.append(self._open_capture(_attr_setter(st, "searched_in")))
-            if r.searched_out is not None and st.searched_out is None and m(r.searched_out):
+            if st.searched_out is None and m(r.searched_out):
                 opened.append(self._open_capture(_attr_setter(st, "searched_out")))
             if r.block is not None and in_scope and st.block_depth is None and m(r.block):
                 st.blocks.append({k: None for k, _ in r.block_fields})
@@ -271,42 +340,52 @@ class _Page(HTMLParser):
                 block = st.blocks[-1]
                 for key, sel in r.block_fields:
                     if block[key] is None and m(sel):
-                        opened.append(self._open_capture(_dict_setter(block, key)))
+                        opened.append(self._open_capture(_dict_setter(block, key),
+                                                         list(st.name_buffers.values())))
         return opened
 
     def handle_endtag(self, tag):
-        if not any(t == tag for t, _, _ in self.stack):
+        if not self.open.get(tag):
             return  # stray end tag: ignore
         while self.stack:
-            t, opened, invisible = self.stack.pop()
-            self._close(opened, invisible, len(self.stack))
-            if t == tag:
+            top = self._pop()
+            if top == tag:
                 break
 
-    def _close(self, opened, invisible, depth):
+    def _pop(self):
+        tag, opened, invisible, *_ = self.stack.pop()
+        self.open[tag] -= 1
+        if tag in _BLOCKS:
+            self._newline()
+        depth = len(self.stack)
         if invisible:
             self.hidden -= 1
-        for buf, store in opened:
+        for buf, store, silenced in reversed(opened):
             store(_text(buf))
-            self.captures.remove(buf)
+            for other in silenced:
+                other.muted -= 1
+            del self.captures[id(buf)]
+            for st in self.states:
+                st.name_buffers.pop(id(buf), None)
         for st in self.states:
             if st.scope_depth is not None and depth == st.scope_depth:
                 st.scope_depth = None
                 st.scope_done = True
             if st.block_depth is not None and depth == st.block_depth:
                 st.block_depth = None
+        return tag
 
     def handle_data(self, data):
-        if self.hidden or not self.captures:
+        if self.hidden:
             return
-        for buf in self.captures:
-            buf.append(data)
+        for buf in self.captures.values():
+            if not buf.muted:
+                buf.append(data)
 
     def finish(self) -> None:
         self.close()
         while self.stack:
-            _, opened, invisible = self.stack.pop()
-            self._close(opened, invisible, len(self.stack))
+            self._pop()
 
 
 def _setter(lst, i):
@@ -327,31 +406,43 @@ def _dict_setter(d, key):
     return store
 
 
-def parse_page(html: str | None, layouts: Sequence[ParsedLayout],
-               check_in: str | None = None, check_out: str | None = None) -> dict | None:
-    """Extract one page; ``None`` when html is missing, unreadable, or no
-    layout is present.  Plain Python, used by the UDF and by tests."""
+def compile_rules(layouts: Sequence[ParsedLayout]) -> list[_Rules]:
+    """Rules in priority order; raises ``ValueError`` on a bad selector."""
+    return [_Rules(x) for x in sorted(layouts, key=lambda x: x.layout)]
+
+
+def parse_page(html: str | None, layouts: Sequence[ParsedLayout] | list[_Rules],
+               check_in: str | None = None, check_out: str | None = None,
+               keep_labels: bool = False) -> dict | None:
+    """Extract one page; ``None`` when html is missing or no layout is
+    present.  Plain Python, used by the UDF and by tests."""
     if html is None:
         return None
-    rules = [_Rules(x) for x in sorted(layouts, key=lambda x: x.layout)]
+    rules = layouts if layouts and isinstance(layouts[0], _Rules) else compile_rules(layouts)
+    page = _Page(rules, check_in, check_out, keep_labels)
     try:
-        page = _Page(rules, check_in, check_out)
         page.feed(html)
         page.finish()
-    except Exception:  # a page that cannot be read is a broken request
+    except AssertionError:  # html.parser's answer to a declaration it can't read
         return None
     for r, st in zip(rules, page.states):
-        present = st.present if r.present else True
-        if not present:
+        if r.present and not st.present:
             continue
         names = [n.replace("\n", " ") for n in st.names if n]
         prices = [p for p in st.prices if p]
         extras = None
         if r.block is not None:
             extras = [dict(b) for b in st.blocks]
-            if r.block == r.names and len(extras) == len(st.names):
+            if r.same_block and len(extras) == len(st.names):
                 # one block per seller element: drop the blank sellers' blocks too
                 extras = [e for n, e in zip(st.names, extras) if n]
+        if r.block is not None and not r.same_block and len(st.blocks) == len(st.names) \
+                and sorted(x for x in st.price_blocks if x is not None) == list(range(len(st.blocks))):
+            # every seller's block holds its price: paired there, blank or not
+            by_block = dict(zip(st.price_blocks, st.prices))
+            pairs = [(n, by_block[i]) for i, n in enumerate(st.names) if n]
+            names, prices = [n.replace("\n", " ") for n, _ in pairs], [p or None for _, p in pairs]
+            extras = [dict(b) for n, b in zip(st.names, st.blocks) if n]
         return {
             "layout": r.layout,
             "names": names,
@@ -364,29 +455,29 @@ def parse_page(html: str | None, layouts: Sequence[ParsedLayout],
             "check_in_found": page.in_found if check_in is not None else None,
             "check_out_found": page.out_found if check_out is not None else None,
             "extras": extras,
-            "labels": page.labels,
+            "labels": list(page.labels),
         }
     return None
 
 
 def extract_parsed(df: DataFrame, layouts: Sequence[ParsedLayout], html_col: str = "html",
                    check_in: str | None = None, check_out: str | None = None,
-                   out: str = "page") -> DataFrame:
-    """Add the ``page`` struct computed by the HTML parser.
+                   out: str = "page", keep_labels: bool = True) -> DataFrame:
+    """Add the ``page`` struct computed by the HTML parser; the div
+    ``aria-label`` values of a page only with ``keep_labels``.
 
     ``check_in`` / ``check_out`` name columns whose values are looked up
     as ``aria-label`` attributes on the page (the requested dates)."""
     frozen = tuple(SimpleNamespace(**dataclasses.asdict(lay)) for lay in layouts)
-    for lay in frozen:  # fail fast on a bad rule, on the driver
-        _Rules(lay)
+    compile_rules(frozen)  # fail fast on a bad rule, on the driver
 
     @F.pandas_udf(PARSED_TYPE)
     def _extract(html: pd.Series, cin: pd.Series, cout: pd.Series) -> pd.DataFrame:
-        rows = []
+        rows, rules = [], compile_rules(frozen)
         for h, a, b in zip(html, cin, cout):
-            page = parse_page(h if isinstance(h, str) else None, frozen,
+            page = parse_page(h if isinstance(h, str) else None, rules,
                               a if isinstance(a, str) else None,
-                              b if isinstance(b, str) else None)
+                              b if isinstance(b, str) else None, keep_labels)
             rows.append(page)
         return _to_frame(rows)
 

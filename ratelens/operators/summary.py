@@ -7,16 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelens.operators.outcome import NO_SELLERS
+
 
 def run_summary(outcomes: DataFrame, status: str = "status",
-                n_offers: str = "n_offers") -> DataFrame:
-    """Requests and offer rows per outcome, from one row per request.
+                n_offers: str = "n_offers", reason: str | None = None) -> DataFrame:
+    """Requests and offer rows per outcome, from one row per request; with
+    ``reason`` also the requests whose page listed no seller.
 
     Partial aggregation happens before the shuffle, so the exchange carries
     one row per outcome per task whatever the skew."""
+    extra = [F.count_if(F.col(reason) == NO_SELLERS).alias("no_sellers")] if reason else []
     return outcomes.groupBy(status).agg(
         F.count(F.lit(1)).alias("requests"),
-        F.sum(F.col(n_offers).cast("long")).alias("offers"),
+        F.sum(F.col(n_offers).cast("long")).alias("offers"), *extra,
     )
 
 

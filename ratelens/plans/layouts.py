@@ -1,10 +1,9 @@
 """Default selector rules for the hotel-price result page.
 
 Rules are data: when the site changes, pass new ``ParsedLayout`` values
-instead of changing code.  The reference located its "not available" and
-second "contact" elements by absolute XPath positions, which cannot be
-written as element rules; supply ``not_available`` / extra ``contact``
-selectors for the markup at hand.
+instead of changing code.  The "not available" element and the second
+"contact" element have no class of their own; they are found by their place
+below the price container (``>`` child, ``:nth(n)`` n-th child of its tag).
 """
 
 from __future__ import annotations
@@ -21,17 +20,32 @@ CONTACT = classes("MEVoGd AdWm1c")
 FEE_BLOCK_AVERAGE = "span.MW1oTb"
 FEE_BLOCK_TOTAL = "span.UeIHqb"
 
+# Places of the flag elements below the price container.
+_SECTION = (f"{PRICE_CONTAINER} > c-wiz%s > c-wiz > div > div > div > div > div > div > div > section"
+            " > div:nth(2) > c-wiz")
+NOT_AVAILABLE_PLACES = (_SECTION % "" + " > c-wiz > div:nth(1) > div > div",
+                        _SECTION % ":nth(1)" + " > c-wiz > div:nth(1)")
+CONTACT_PLACE = _SECTION % ":nth(1)" + " > div:nth(1) > div:nth(1) > div:nth(1)"
+SEARCHED_OUT_PLACE = "#dwrFZd0 > div > div:nth(2) > div:nth(1)"
+SEARCHED_IN_PLACE = "#dwrFZd0 > div > div:nth(1) > div:nth(1)"
+LISTING_BLOCK = "div.ADs2Tc"
+LISTING_FEES = "div.Einivf.qOlGCc"
+
 DETAIL_PAGE = ParsedLayout(
     layout=1, names=SELLER, prices=PRICE, scope=PRICE_CONTAINER,
-    present=(PRICE_CONTAINER,), contact=(CONTACT,), listing=(LISTING,),
-    block=SELLER,
+    present=(PRICE_CONTAINER,), not_available=NOT_AVAILABLE_PLACES,
+    contact=(CONTACT, CONTACT_PLACE), listing=(LISTING,),
+    searched_in=SEARCHED_IN_PLACE, searched_out=SEARCHED_OUT_PLACE, block=SELLER,
     block_fields=(("average_price", FEE_BLOCK_AVERAGE), ("total_price", FEE_BLOCK_TOTAL)),
 )
 
 LISTING_PAGE = ParsedLayout(
-    layout=2, names=SELLER, prices=PRICE, present=(LISTING,), contact=(CONTACT,),
-    listing=(LISTING,), block=SELLER,
-    block_fields=(("average_price", FEE_BLOCK_AVERAGE), ("total_price", FEE_BLOCK_TOTAL)),
+    layout=2, names=SELLER, prices=PRICE, present=(LISTING,),
+    not_available=NOT_AVAILABLE_PLACES, contact=(CONTACT, CONTACT_PLACE),
+    searched_in=SEARCHED_IN_PLACE, searched_out=SEARCHED_OUT_PLACE,
+    listing=(LISTING,), block=LISTING_BLOCK,
+    block_fields=(("average_price", f"{LISTING_FEES} >> {FEE_BLOCK_AVERAGE}"),
+                  ("total_price", f"{LISTING_FEES} >> {FEE_BLOCK_TOTAL}")),
 )
 
 DEFAULT_LAYOUTS = (DETAIL_PAGE, LISTING_PAGE)

@@ -95,7 +95,8 @@ SELECT page_id, status,
   CASE WHEN status = 'broken' THEN
     CASE WHEN html IS NULL THEN 'html_missing'
          WHEN length(html) = 0 THEN 'html_empty'
-         WHEN len(p) < len(n) THEN 'too_few_prices' END END AS reason,
+         WHEN len(p) < len(n) THEN 'too_few_prices' END
+    WHEN status = 'offers' AND len(n) = 0 THEN 'no_sellers' END AS reason,
   CAST(CASE WHEN status = 'offers' THEN len(n) ELSE 0 END AS INTEGER) AS n_offers
 FROM c""",
 
@@ -264,6 +265,7 @@ GROUP BY chunk_id""",
 
     "page_rate_shop_summary": f"""WITH {_PAGES}
 SELECT status, COUNT(*) AS requests,
-  CAST(SUM(CASE WHEN status = 'offers' THEN len(n) ELSE 0 END) AS BIGINT) AS offers
+  CAST(SUM(CASE WHEN status = 'offers' THEN len(n) ELSE 0 END) AS BIGINT) AS offers,
+  COUNT(*) FILTER (WHERE status = 'offers' AND len(n) = 0) AS no_sellers
 FROM c GROUP BY status""",
 }

@@ -29,9 +29,8 @@ from pyspark.sql import functions as F
 from ratelens.functions.text import clean_price, price_decimal, transliterate
 from ratelens.operators.extract import NativeLayout, ParsedLayout, extract_native
 from ratelens.operators.offers import request_rows
-from ratelens.operators.outcome import BROKEN, classify
+from ratelens.operators.outcome import BROKEN, OFFERS, classify
 from ratelens.operators.parsed import extract_parsed
-from ratelens.operators.partitioning import spread
 from ratelens.operators.summary import run_summary
 from ratelens.session import checkpoint_dir
 
@@ -60,22 +59,19 @@ class RunOutputs:
 
 
 def extract_captures(captures: DataFrame,
-                     layouts: Sequence[NativeLayout] | Sequence[ParsedLayout]) -> DataFrame:
-    """Per capture: ``request_id, captured_at, page, html_state`` (no html)."""
-    # near-unique together even when page_id or captured_at are all NULL, or
-    # one request was captured many times
-    key = [c for c in ("request_id", "page_id", "captured_at") if c in captures.columns]
-    if not captures.isStreaming:
-        captures = spread(captures, key)
+                     layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
+                     keep_labels: bool = False) -> DataFrame:
+    """Per capture: ``request_id, captured_at, page_id, page, html_state,
+    html_hash`` (no html)."""
     if all(isinstance(x, NativeLayout) for x in layouts):
         pages = extract_native(captures, layouts)  # type: ignore[arg-type]
     elif all(isinstance(x, ParsedLayout) for x in layouts):
-        pages = extract_parsed(captures, layouts)  # type: ignore[arg-type]
+        pages = extract_parsed(captures, layouts, keep_labels=keep_labels)  # type: ignore[arg-type]
     else:
         raise TypeError("layouts must be all NativeLayout or all ParsedLayout")
     state = (F.when(F.col("html").isNull(), F.lit("html_missing"))
              .when(F.length("html") == 0, F.lit("html_empty")))
-    cols = ["request_id", "page", state.alias("html_state")]
+    cols = ["request_id", "page", state.alias("html_state"), F.xxhash64("html").alias("html_hash")]
     cols.insert(1, "captured_at" if "captured_at" in captures.columns
                 else F.lit(None).cast("timestamp_ntz").alias("captured_at"))
     cols.insert(2, "page_id" if "page_id" in captures.columns
@@ -85,9 +81,10 @@ def extract_captures(captures: DataFrame,
 
 def latest_capture(extracted: DataFrame) -> DataFrame:
     """One capture per request: the latest ``captured_at``, ties and NULL
-    times broken by the highest ``page_id``."""
+    times broken by the highest ``page_id``, then by a hash of the markup, so
+    that the choice is the same on every run."""
     order = F.struct(F.coalesce(F.col("captured_at"), F.lit("0001-01-01").cast("timestamp_ntz")),
-                     F.col("page_id"))
+                     F.col("page_id"), F.col("html_hash"))
     return extracted.groupBy("request_id").agg(
         F.max_by(F.struct("page_id", "captured_at", "page", "html_state"), order).alias("c")
     ).select("request_id", "c.*")
@@ -100,8 +97,8 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
     (only the requests that have a capture when ``captured_only``).
 
     ``require_dates``: a page without a ``div`` whose ``aria-label`` is the
-    requested check-in date (parser rules) is broken, reason
-    ``dates_not_found``."""
+    requested check-in date, and one for the check-out date, is broken, reason
+    ``dates_not_found``.  Only parser rules read these labels."""
     extra = [F.col(c) if c in requests.columns else F.lit(None).cast("string").alias(c)
              for c in extra_cols]
     malformed = "malformed" if "malformed" in requests.columns else F.lit(False).alias("malformed")
@@ -110,11 +107,14 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
     joined = req.join(captures.withColumn("_has", F.lit(True)), "request_id", how)
     classified = classify(joined, page="page", html=None)
     no_dates = F.lit(False)
-    if require_dates and "labels" in captures.schema["page"].dataType.names:
+    if require_dates:
+        if "labels" not in captures.schema["page"].dataType.names:
+            raise ValueError("require_dates needs parser rules (ParsedLayout)")
         # the page's div aria-labels were collected by the parser, so the
         # test needs only the narrow extracted row, never the markup
         no_dates = F.coalesce(
-            F.col("page").isNotNull() & ~F.array_contains("page.labels", F.col("check_in")),
+            F.col("page").isNotNull() & ~(F.array_contains("page.labels", F.col("check_in"))
+                                          & F.array_contains("page.labels", F.col("check_out"))),
             F.lit(False))
     fixed_reason = (
         F.when(F.col("malformed"), F.lit("malformed_row"))
@@ -131,7 +131,7 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
     ).withColumn(
         "n_offers",
         F.when(F.col("status") == "offers", F.size("page.names")).otherwise(F.lit(0)).cast("int"),
-    ).withColumn("reason", F.when(F.col("status") == BROKEN, F.col("reason")))
+    ).withColumn("reason", F.when(F.col("status").isin(BROKEN, OFFERS), F.col("reason")))
 
 
 def run_rate_shop(requests: DataFrame, captures: DataFrame,
@@ -144,7 +144,9 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
 
     ``extra_prices`` adds the manifest's fee fields and each seller's
     average-with-fees and total price read from its block on the page."""
-    extracted = extract_captures(captures, layouts)
+    if extra_prices and not all(isinstance(x, ParsedLayout) for x in layouts):
+        raise ValueError("extra_prices needs parser rules (ParsedLayout)")
+    extracted = extract_captures(captures, layouts, keep_labels=require_dates)
     extra_cols = list(EXTRA_REQUEST_COLS) if extra_prices else []
     outcomes = classify_requests(requests, latest_capture(extracted), captured_only, extra_cols,
                                  require_dates)
@@ -176,5 +178,5 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
 
     reattempt = outcomes.filter(F.col("status") == BROKEN).withColumn(
         "hotel", transliterate("hotel")).select(*REATTEMPT_COLS)
-    summary = run_summary(outcomes)
+    summary = run_summary(outcomes, reason="reason")
     return RunOutputs(offers=offers, reattempt=reattempt, summary=summary, outcomes=outcomes)

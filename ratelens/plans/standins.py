@@ -81,8 +81,8 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_qu
 
 
 def _page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The captured pages, spread over the cores before per-page work."""
-    return spread(read_table(spark, sf_dir, "pages"), ["page_id"])
+    """The captured pages; their markup is never shuffled."""
+    return read_table(spark, sf_dir, "pages")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:

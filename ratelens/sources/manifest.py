@@ -4,16 +4,20 @@ and at least 19 fields per row, addressed by position.
 Read as all-string columns ``_c0 .. _cN`` (the width is taken from the
 header line, its names discarded), then the used positions are projected
 to named columns.  Quoted fields may hold commas, quotes and line breaks.
-A row with too few or too many fields is kept whole in ``_corrupt`` and
-routed to the re-attempt output, never dropped and never fatal.
-
-``request_id`` is ``<file name>:<row number in file>`` (data rows from 1):
-duplicates stay distinct requests, and the key is the same on every run
-over the same files.
+A row with too few fields is kept whole in ``_corrupt`` and routed to the
+re-attempt output, never dropped and never fatal; fields beyond the header's
+are ignored, as fields are read by position.
+
+``request_id`` is ``<file>:<row number in file>`` (data rows from 1), where
+the file is given relative to the manifest's folder (its name, if the path is
+that file): duplicates stay distinct requests, and a file's keys stay the same
+whatever other files are added.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +40,6 @@ FIELD_POSITIONS = {
 MIN_WIDTH = 19
 CORRUPT = "_corrupt"
 
-# Largest number of manifest files whose row offsets are broadcast.
-MAX_BROADCAST_FILES = 100_000
-
-
 def _reader(spark: SparkSession, multi_line: bool = True):
     return (spark.read.option("header", True).option("multiLine", multi_line)
             .option("escape", '"').option("quote", '"').option("encoding", "UTF-8"))
@@ -84,28 +84,28 @@ def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None,
         Window.unboundedPreceding, -1)
     splits = splits.select("source_file", "_rl_block", "_rl_first",
                            F.coalesce(F.sum("_rl_n").over(earlier), F.lit(0)).alias("_rl_before"))
-    files = raw.inputFiles()
-    if len(files) <= MAX_BROADCAST_FILES and multi_line:
-        splits = F.broadcast(splits)  # one row per file
     numbered = raw.join(splits, ["source_file", "_rl_block"]).withColumn(
         "row_in_file",
         (F.col("_rl_before") + F.col("_rl_id") - F.col("_rl_first") + 1).cast("long"))
-    # the file name identifies a request when names are unique, else the path
-    base_names = [f.rstrip("/").rsplit("/", 1)[-1] for f in files]
-    unique = len(set(base_names)) == len(base_names)
-    name = F.element_at(F.split("source_file", "/"), -1) if unique else F.col("source_file")
+    root = F.lit(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/")
+    at = F.position(root, F.col("source_file"))
+    name = F.when(at > 0, F.substr("source_file", at + F.length(root))).otherwise(
+        F.element_at(F.split("source_file", "/"), -1))
     return numbered.withColumn(
         "request_id", F.concat(name, F.lit(":"), F.col("row_in_file").cast("string"))
     ).drop("_rl_id", "_rl_first", "_rl_block", "_rl_before")
 
 
 def _malformed():
-    """``_corrupt IS NOT NULL``, written so that it also reads ``_c0``: Spark
+    """The row has fewer than ``MIN_WIDTH`` fields (a row with another number
+    of fields than the header is in ``_corrupt`` as well, but the fields read
+    by position are all there).  Written so that it also reads ``_c0``: Spark
     refuses a CSV scan whose only data column is the corrupt-record column
     (e.g. ``filter("malformed").count()``)."""
     corrupt = F.col(CORRUPT)
+    bare = F.regexp_replace(corrupt, '"(?:[^"]|"")*"', "")  # without quoted commas
     return F.when(corrupt.isNull() & F.col("_c0").isNull(), F.lit(False)).otherwise(
-        corrupt.isNotNull())
+        corrupt.isNotNull() & (F.regexp_count(bare, F.lit(",")) < MIN_WIDTH - 1))
 
 
 def read_manifest(spark: SparkSession, path: str, width: int | None = None,
@@ -142,7 +142,7 @@ def reattempt_manifest(spark: SparkSession, path: str, reattempt: DataFrame,
     to try again, so that the next run can read them as its manifest.
     Malformed rows cannot be fed back and stay only in the re-attempt output."""
     header = manifest_header(spark, path)
-    raw = read_manifest_raw(spark, path, width, multi_line).filter(F.col(CORRUPT).isNull())
+    raw = read_manifest_raw(spark, path, width, multi_line).filter(~_malformed())
     keys = reattempt.select("request_id").distinct()
     rows = raw.join(keys, "request_id", "left_semi")
     return rows.select(*[F.col(f"_c{i}").alias(h) for i, h in enumerate(header)])

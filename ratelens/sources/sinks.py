@@ -24,6 +24,9 @@ from ratelens.operators.offers import legacy_projection
 from ratelens.plans.rateshop import RunOutputs
 
 
+LEGACY_NAMES = ("final_data", "final_data_backup")
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header line, RFC 4180 quoting; ``single_file`` only for small outputs."""
     out = df.coalesce(1) if single_file else df
@@ -37,6 +40,19 @@ def read_csv(spark, path: str, schema) -> DataFrame:
             .option("multiLine", True).csv(path))
 
 
+def request_order(request_id: str = "request_id") -> list:
+    """Sort columns for the manifest's order: file, row number in the file
+    (as a number), then the id itself for ids of another form."""
+    row = F.element_at(F.split(request_id, ":"), -1).try_cast("long")
+    return [F.regexp_replace(request_id, ":[0-9]+$", ""), row, F.col(request_id)]
+
+
+def _clear(spark, path: str) -> None:
+    """Remove what an earlier run of the same date wrote to ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_outputs(outputs: RunOutputs, out_dir: str, run_date: str,
                   legacy_csv: bool = True, ordered: bool = False) -> dict[str, str]:
     """Write all outputs of one run; returns the paths written.
@@ -51,13 +67,16 @@ def write_outputs(outputs: RunOutputs, out_dir: str, run_date: str,
         offers.write.mode("overwrite").parquet(p)
         paths["offers"] = p
         if legacy_csv:
-            src = offers.orderBy("request_id", F.col("scrape_position").asc_nulls_first()) \
-                if ordered else offers
+            src = offers.orderBy(*request_order("request_id"),
+                                 F.col("scrape_position").asc_nulls_first()) if ordered else offers
             legacy = legacy_projection(src)
-            for name in ("final_data", "final_data_backup"):
+            for name in LEGACY_NAMES:
                 p = f"{base}/{name}_{run_date}"
                 write_csv(legacy, p)
                 paths[name] = p
+    else:  # a rerun without offers leaves none of the earlier run behind
+        for p in (f"{base}/offers/run_date={run_date}", *(f"{base}/{n}_{run_date}" for n in LEGACY_NAMES)):
+            _clear(offers.sparkSession, p)
     p = f"{base}/reattempt_{run_date}"
     write_csv(outputs.reattempt, p)
     paths["reattempt"] = p

@@ -9,7 +9,7 @@ Exactly-once output without a transactional sink: each micro-batch writes
 to a folder named by its epoch id with ``overwrite``, so a batch that
 Spark re-runs after a failure replaces its own earlier attempt instead of
 appending twice.  The stream's progress lives in ``checkpointLocation``
-(under ``spark.checkpoint.dir`` unless given).
+(a durable folder; only a local master may leave it out).
 
 A request captured again in a later batch appears in several epochs;
 ``latest_outcomes`` keeps the latest capture per request over all epochs.
@@ -58,6 +58,8 @@ def stream_rate_shop(spark: SparkSession, requests: DataFrame, capture_dir: str,
         out.offers.write.mode("overwrite").parquet(f"{base}/offers/{part}")
         write_csv(out.reattempt, f"{base}/reattempt/{part}")
 
+    if checkpoint_location is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("give checkpoint_location: the stream's progress must outlive the driver")
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/stream-{query_name}"
     writer = (captures.writeStream.queryName(query_name).foreachBatch(process)
               .option("checkpointLocation", location))
@@ -66,6 +68,23 @@ def stream_rate_shop(spark: SparkSession, requests: DataFrame, capture_dir: str,
     return writer.start()
 
 
+def latest_offers(spark: SparkSession, out_dir: str, run_date: str) -> DataFrame:
+    """Offers of the captures that :func:`latest_outcomes` keeps: rows of
+    superseded captures, which stay in their epochs' folders, are left out."""
+    offers = spark.read.parquet(f"{out_dir.rstrip('/')}/offers/run_date={run_date}")
+    latest = latest_outcomes(spark, out_dir, run_date).select("request_id", "epoch")
+    return offers.join(latest, ["request_id", "epoch"], "left_semi")
+
+
+def missing_requests(spark: SparkSession, requests: DataFrame, out_dir: str, run_date: str) -> DataFrame:
+    """Requests that no epoch has an outcome for, with the reason
+    (``malformed_row`` or ``no_capture``): the end-of-run report."""
+    done = latest_outcomes(spark, out_dir, run_date).select("request_id")
+    malformed = F.col("malformed") if "malformed" in requests.columns else F.lit(False)
+    return requests.join(done, "request_id", "left_anti").select(
+        "request_id", F.when(malformed, "malformed_row").otherwise("no_capture").alias("reason"))
+
+
 def latest_outcomes(spark: SparkSession, out_dir: str, run_date: str) -> DataFrame:
     """One outcome per request over all epochs: the latest capture wins."""
     df = spark.read.parquet(f"{out_dir.rstrip('/')}/outcomes/run_date={run_date}")
