@@ -87,7 +87,10 @@ def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None,
     numbered = raw.join(splits, ["source_file", "_rl_block"]).withColumn(
         "row_in_file",
         (F.col("_rl_before") + F.col("_rl_id") - F.col("_rl_first") + 1).cast("long"))
-    root = F.lit(re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/")
+    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+    if glob := re.search(r"[*?\[{]", plain):  # the folder above the first wildcard
+        plain = plain[:glob.start()].rpartition("/")[0]
+    root = F.lit(plain.rstrip("/") + "/")
     at = F.position(root, F.col("source_file"))
     name = F.when(at > 0, F.substr("source_file", at + F.length(root))).otherwise(
         F.element_at(F.split("source_file", "/"), -1))

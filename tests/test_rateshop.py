@@ -241,7 +241,7 @@ def test_request_ids_unique_across_folders(spark, tmp_dir):
 
 def test_require_dates(spark, tmp_dir):
     names = ["dates", "offers"]
-    rows = [manifest_row(1, "A", ci="May 1, 2024"), manifest_row(2, "B", ci="May 1, 2024")]
+    rows = [manifest_row(1, "A", ci="May 1, 2024", co="May 1, 2024"), manifest_row(2, "B", ci="May 1, 2024")]
     path = write_manifest(tmp_dir + "/m", rows)
     caps = _captures(spark, [(f"hotels.csv:{i + 1}", n) for i, n in enumerate(names)])
     req = read_manifest(spark, path)
