@@ -79,6 +79,8 @@ r AS (
 _NULLS = ("CAST(NULL AS VARCHAR) AS check_in, CAST(NULL AS VARCHAR) AS check_out, "
           "CAST(NULL AS VARCHAR) AS check_in_search, CAST(NULL AS VARCHAR) AS check_out_search, "
           "CAST(NULL AS VARCHAR) AS listed_base_price, CAST(NULL AS VARCHAR) AS nights")
+_DECODED = ("trim(replace(replace(replace(replace(v, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), "
+            "'&amp;', '&'))")
 _CLEAN = "replace(replace(p[i], '$', ''), ',', '')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -231,6 +233,23 @@ SELECT request_id, request_id AS hotel_id, hotel, CAST(NULL AS VARCHAR) AS agent
   status
 FROM r WHERE status IN ('not_available', 'contact')""",
 
+    # paragraphs cut out of the article as text, tags dropped: no rule is shared with the parser
+    "page_rate_shop_parsed": f"""WITH cut AS (
+  SELECT page_id, html, string_split(split_part(substr(html, strpos(html, '<article>')), '</article>', 1), '<p>') AS parts
+  FROM pages),
+r AS (
+  SELECT CAST(page_id AS VARCHAR) AS request_id, 'offers' AS status,
+    replace(strip_accents(regexp_extract_all(html, '<title>([^<]*)</title>', 1)[1]), 'ß', 'ss') AS hotel,
+    list_filter(list_transform(regexp_extract_all(html, '<a href=[^>]*>([^<]*)</a>', 1), lambda v: {_DECODED}), lambda v: v <> '') AS n,
+    list_filter(list_transform(list_transform(parts[2:], lambda s: regexp_replace(split_part(s, '</p>', 1), '<[^>]*>', '', 'g')),
+      lambda v: {_DECODED}), lambda v: v <> '') AS p
+  FROM cut)
+SELECT request_id, request_id AS hotel_id, hotel, n[i] AS agent,
+  CAST(i AS INTEGER) AS scrape_position, DATE '2024-01-15' AS scrape_date, {_NULLS},
+  {_CLEAN} AS scrape_base_price, TRY_CAST({_CLEAN} AS DECIMAL(12,2)) AS scrape_base_price_num,
+  status
+FROM r, unnest(range(1, len(n) + 1)) AS t(i) WHERE len(p) >= len(n)""",
+
     "page_legacy_rows": f"""{_PAGE_RUN},
 rows AS (
   SELECT request_id, status, n[i] AS agent, CAST(i AS INTEGER) AS pos, {_CLEAN} AS price
