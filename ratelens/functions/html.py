@@ -31,6 +31,20 @@ def region(html: ColumnOrName, start: str, end: str) -> Column:
     return F.regexp_extract(_col(html), f"(?s){start}(.*?){end}", 1)
 
 
+# Character references of visible text, the ampersand last.
+REFERENCES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+              ("&euro;", "\u20ac"), ("&pound;", "\u00a3"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"))
+
+
+def visible_text(markup: ColumnOrName) -> Column:
+    """Text of a piece of markup: tags dropped, common character references
+    decoded, white space around it removed.  Built-in expressions only."""
+    text = F.regexp_replace(_col(markup), "<[^>]*>", "")
+    for reference, char in REFERENCES:
+        text = F.replace(text, F.lit(reference), F.lit(char))
+    return F.btrim(text, F.lit(" \t\n\r\f"))
+
+
 def attr_present(html: ColumnOrName, prefix: str, value: ColumnOrName, suffix: str) -> Column:
     """Row-parameterised test: does ``prefix + value + suffix`` occur?
 

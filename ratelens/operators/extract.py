@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelens.functions.arrays import drop_blanks
-from ratelens.functions.html import extract_first
+from ratelens.functions.html import extract_first, visible_text
 from ratelens.functions.text import fold_newlines
 
 PAGE_TYPE = (
@@ -51,7 +51,8 @@ class Test:
 
 @dataclass(frozen=True)
 class NativeLayout:
-    """Regular-expression rules of one page layout (group 1 is the value).
+    """Regular-expression rules of one page layout (group 1 is the value, and
+    may hold markup: its tags are dropped and references decoded).
 
     ``scope`` limits name and price extraction to the markup between two
     patterns (the price container); ``present`` decides whether the page
@@ -88,6 +89,7 @@ def _layout_struct(rules: NativeLayout, html: Column) -> Column:
         body = F.regexp_extract(html, f"(?s){start}(.*?){end}", 1)
     names = F.regexp_extract_all(body, F.lit(rules.names), F.lit(1))
     prices = F.regexp_extract_all(body, F.lit(rules.prices), F.lit(1))
+    names, prices = F.transform(names, visible_text), F.transform(prices, visible_text)
     if rules.fold_names:
         names = F.transform(names, fold_newlines)
     if rules.drop_blank:

@@ -7,11 +7,17 @@ positions and list sizes are INTEGER, counts BIGINT, prices DECIMAL(12,2).
 
 from __future__ import annotations
 
+_DECODED = ("trim(replace(replace(replace(replace(v, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), "
+            "'&amp;', '&'))")
 _NAMES = (
     "list_filter(list_transform(regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a></li>', 1), "
-    "lambda v: replace(v, chr(10), ' ')), lambda v: v <> '')"
+    f"lambda v: {_DECODED}), lambda v: v <> '')"
 )
-_PRICES = "list_filter(regexp_extract_all(html, '<p>([^<]*)</p>', 1), lambda v: v <> '')"
+# the article cut at its paragraphs' start tags, as text: no pattern is shared with the rules
+_SECTIONS = ("list_transform(list_transform(string_split(split_part(substr(html, strpos(html, '<article>')), "
+             "'</article>', 1), '<p>')[2:], lambda s: regexp_replace(split_part(s, '</p>', 1), '<[^>]*>', '', 'g')), "
+             f"lambda v: {_DECODED})")
+_PRICES = f"list_filter({_SECTIONS}, lambda v: v <> '')"
 
 _PAGES = f"""
 x AS (
@@ -79,8 +85,6 @@ r AS (
 _NULLS = ("CAST(NULL AS VARCHAR) AS check_in, CAST(NULL AS VARCHAR) AS check_out, "
           "CAST(NULL AS VARCHAR) AS check_in_search, CAST(NULL AS VARCHAR) AS check_out_search, "
           "CAST(NULL AS VARCHAR) AS listed_base_price, CAST(NULL AS VARCHAR) AS nights")
-_DECODED = ("trim(replace(replace(replace(replace(v, '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), "
-            "'&amp;', '&'))")
 _CLEAN = "replace(replace(p[i], '$', ''), ',', '')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -115,24 +119,23 @@ FROM (SELECT page_id,
         regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1) AS a
       FROM pages), unnest(range(1, len(a) + 1)) AS t(i)""",
 
-    "nth_section": """
-SELECT page_id, regexp_extract_all(html, '<p>([^<]*)</p>', 1)[5] AS section FROM pages""",
+    "nth_section": f"""
+SELECT page_id, ({_SECTIONS})[5] AS section FROM pages""",
 
     "page_layout": f"""WITH {_PAGES}
 SELECT page_id, lst AS is_listing, ct AS contact, na AS not_available FROM x""",
 
-    "layout_fallback": """
+    "layout_fallback": f"""
 SELECT page_id, layout, CAST(len(pr) AS INTEGER) AS n_prices, pr[1] AS first_price
 FROM (
   SELECT page_id,
     CASE WHEN html IS NULL THEN NULL
-         WHEN regexp_matches(html, '<p>[^<]*</p>') THEN 1
+         WHEN contains(html, '<p>') THEN 1
          WHEN regexp_matches(html, '<h1>[^<]*</h1>') THEN 2 END AS layout,
     CASE WHEN html IS NULL THEN NULL
-         WHEN regexp_matches(html, '<p>[^<]*</p>')
-           THEN list_filter(regexp_extract_all(html, '<p>([^<]*)</p>', 1), lambda v: v <> '')
+         WHEN contains(html, '<p>') THEN {_PRICES}
          WHEN regexp_matches(html, '<h1>[^<]*</h1>')
-           THEN list_filter(regexp_extract_all(html, '<h1>([^<]*)</h1>', 1), lambda v: v <> '')
+           THEN list_filter(list_transform(regexp_extract_all(html, '<h1>([^<]*)</h1>', 1), lambda v: {_DECODED}), lambda v: v <> '')
     END AS pr
   FROM pages)""",
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.functions.arrays import distinct_values, drop_blanks, nth
-from ratelens.functions.html import attr_present, extract_all, extract_first, region
+from ratelens.functions.html import attr_present, extract_all, extract_first, region, visible_text
 from ratelens.functions.text import (
     clean_price,
     fold_newlines,
@@ -41,7 +41,7 @@ from ratelens.sources.tables import read_table
 
 # Markup of the driver's stand-in pages.
 NAV_LABEL = r'<li><a href="[^"]*">([^<]*)</a></li>'
-PARAGRAPH = r'<p>([^<]*)</p>'
+PARAGRAPH = r'(?s)<p>(.*?)(?=</p>|<p>|</article>)'
 HEADING = r'<h1>([^<]*)</h1>'
 TEXT_NODE = r'>([^<]*)<'
 HREF = r'href="([^"]*)"'
@@ -66,7 +66,7 @@ STANDIN_LAYOUT = NativeLayout(
 # Layout fallback: paragraphs if the page has any, else the heading.
 FALLBACK_LAYOUTS = (
     NativeLayout(layout=1, names=NAV_LABEL, prices=PARAGRAPH,
-                 present=(Test(r"<p>[^<]*</p>"),)),
+                 present=(Test(r"<p>"),)),
     NativeLayout(layout=2, names=NAV_LABEL, prices=HEADING,
                  present=(Test(r"<h1>[^<]*</h1>"),)),
 )
@@ -140,7 +140,7 @@ def q_page_scoped_items(spark, sf_dir):
 def q_nth_section(spark, sf_dir):
     """Fifth paragraph of each page, NULL when there are fewer."""
     pages = _page_table(spark, sf_dir)
-    return pages.select("page_id", nth(extract_all("html", PARAGRAPH), 4).alias("section"))
+    return pages.select("page_id", nth(F.transform(extract_all("html", PARAGRAPH), visible_text), 4).alias("section"))
 
 
 def q_page_layout(spark, sf_dir):
