@@ -61,6 +61,8 @@ _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ARTICLE, PLAIN, OFF = 2, 1, 0
+#: Deleted lines are broadcast up to this many (4 bytes each).
+BROADCAST_LINES = 2_000_000
 
 
 def _zone(name: str, attrs: str, in_article: bool) -> int | None:
@@ -230,16 +232,20 @@ def _line_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(page, hashes, zones, other) -> the lines that a page shares with its
+    partner, of those that no zone decides about; pages without any are left out."""
     for batch in batches:
-        drops = []
-        for hashes, zones, other in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+        pages, drops = [], []
+        for page, hashes, zones, other in zip(*(batch.column(i).to_pylist() for i in range(4))):
             shared = common_lines(hashes, other or [])
             open_ = [i for i, z in enumerate(zones) if z == PLAIN]
             if open_ and all(i in shared for i in open_) and ARTICLE not in zones:
                 shared = set()          # a copy: the difference says nothing
-            drops.append([i for i, z in enumerate(zones) if z == OFF or z == PLAIN and i in shared])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(drops, pa.list_(pa.int32()))],
-                                         names=["page", "drops"])
+            if found := [i for i in open_ if i in shared]:
+                pages.append(page)
+                drops.append(found)
+        yield pa.RecordBatch.from_arrays([pa.array(pages, batch.schema.field(0).type),
+                                          pa.array(drops, pa.list_(pa.int32()))], names=["page", "drops"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,7 +253,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, drops in zip(batch.column(2), batch.column(3).to_pylist()):
             gone = set(drops or ())
-            texts.append("\n".join(t for i, (t, _) in enumerate(lines_of(page.as_py())) if i not in gone))
+            texts.append("\n".join(t for i, (t, z) in enumerate(lines_of(page.as_py())) if z != OFF and i not in gone))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
                                          names=["page", "url", "text"])
 
@@ -305,7 +311,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     aligned = (hashes.join(pairs, "page", "left")
                .join(hashes.select(F.col("page").alias("partner"), F.col("hashes").alias("other")), "partner", "left")
                .select("page", "hashes", "zones", "other"))
-    drops = in_workers(aligned).mapInArrow(_align, f"page {kind}, drops array<int>")
+    drops = cut_lineage(in_workers(aligned).mapInArrow(_align, f"page {kind}, drops array<int>"))
+    size = drops.agg(F.coalesce(F.sum(F.size("drops") + 4), F.lit(0))).first()[0]
+    if size <= BROADCAST_LINES:      # then the markup needn't be moved
+        drops = F.broadcast(drops)
     joined = (rows.join(drops.withColumnRenamed("page", "p"), F.col("page") == F.col("p"), "left")
               .select("page", "url", "html", "drops"))
     texts = in_workers(joined).mapInArrow(_texts, f"page {kind}, url string, text string")
