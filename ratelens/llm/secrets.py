@@ -21,6 +21,7 @@ documents as its credentials', and look-alikes that documented forms exclude.
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -52,11 +53,32 @@ PROVIDER_FORMS = {
     "web_token": r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}",
     "hex_value": r"(?:[0-9a-f]{18}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})",
 }
+_SPOT = re.compile(r"[0-9:=]|[A-Z]{16}")
+_SPACE = re.compile(r"\s")
+_WORD = re.compile(r"\S+")
 CANDIDATE = (r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/=.-]{0,80}[0-9])[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{10,}=*"
              r"|(?<![A-Za-z0-9_])[A-Z0-9]{16,}(?![A-Za-z0-9_])"
              r"|(?<=[:=]\s?[\"']?)[A-Za-z0-9_+/.@#%^&*!-]{8,}")
 
 
+def spots(text: str) -> Iterator[tuple[int, int]]:
+    """Stretches of a text where a candidate can be: the words that hold a
+    digit, an assignment sign or a long run of capitals, and the word after a
+    sign.  All other words are passed over at scanning speed."""
+    done, n = 0, len(text)
+    while m := _SPOT.search(text, done):
+        a = m.start()
+        while a > done and not text[a - 1].isspace():
+            a -= 1
+        end = _SPACE.search(text, m.end())
+        b = end.start() if end else n
+        if text[b - 1] in ":=\"'":
+            word = _WORD.search(text, b)
+            b = word.end() if word else n
+        yield a, b
+        done = b
+
+
 def candidate_rows(id_type: str):
     """(id, path, text) -> a row per candidate of a whole text."""
     find = regex.compile(CANDIDATE).finditer
@@ -66,7 +88,7 @@ def candidate_rows(id_type: str):
             ids, paths, starts, found, before, after = [], [], [], [], [], []
             for i, p, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 t = t.as_py() or ""
-                for m in find(t):
+                for m in (m for a, b in spots(t) for m in find(t, a, b)):
                     value = m[0]
                     name, sign, rest = value.partition("=")
                     at = m.start()
