@@ -45,7 +45,7 @@ DECAY = 0.75
 CODES = 44            # letter classes, and a word's start and end
 PART = 14             # longer words are read through windows of this length
 LANDMARKS = 256
-SAMPLE = 1500         # labelled documents of each class used for fitting
+SAMPLE = 1200         # labelled documents of each class used for fitting
 ROUNDS = 4
 THRESHOLD = 0.3
 COST = 5.0
@@ -227,8 +227,9 @@ def _witnesses_by_grams(toxic: list[set[str]], plain: list[set[str]], least: flo
     bad = Counter(g for d in toxic for g in set().union(*map(of.__getitem__, d)))
     bad = Counter({g: n for g, n in bad.items() if n >= least})
     of = {w: gs & bad.keys() for w, gs in of.items()}
-    also = {w: grams(w) & bad.keys() for w in set().union(*plain)}
-    good = Counter(g for d in plain for g in set().union(*map(also.__getitem__, d)))
+    none: set[str] = set()
+    also = {w: gs for w in set().union(*plain) if (gs := grams(w) & bad.keys())}
+    good = Counter(g for d in plain for g in none.union(*(also.get(w, none) for w in d)))
     share = len(toxic) / max(1, len(plain))
     value = {g: (n - good[g] * share) / np.sqrt(good[g] * share + 1) for g, n in bad.items()}
     out = []
@@ -341,22 +342,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                   label_col: str = "toxic", sample: int = SAMPLE) -> list[tuple[str, int]]:
     """At most ``sample`` labelled documents of each class, in the order of a
     hash of their id; rows of the held-out quarter are never used."""
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label")).where(
-        "__label IN (0, 1)").distinct()
-    joined = (docs.select(F.col(id_col).alias("__doc"), F.col(text_col).alias("__text"))
-              .where(~held_out(F.col("__doc")))
-              .join(known, F.col("__doc") == F.col("__id"))
-              .select("__doc", "__label", F.coalesce("__text", F.lit("")).alias("__text")))
-    rows = []
+    known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"))
+             .where("__label IN (0, 1)").where(~held_out(F.col("__id"))).distinct())
+    chosen = None
     for label in (0, 1):
-        # the ids first, so that only the chosen texts are moved
-        chosen = (joined.where(F.col("__label") == label).select("__doc")
-                  .orderBy(F.xxhash64("__doc"), "__doc").limit(sample).withColumnRenamed("__doc", "__pick"))
-        some = (joined.where(F.col("__label") == label)
-                .join(F.broadcast(chosen.distinct()), F.col("__doc") == F.col("__pick"), "left_semi")
-                .select("__doc", "__text"))
-        rows += [(r[1], label) for r in sorted(some.collect())]
-    return rows
+        # chosen among the labels alone: no text is moved but the chosen ones
+        some = (known.where(F.col("__label") == label)
+                .orderBy(F.xxhash64("__id"), "__id").limit(sample))
+        chosen = some if chosen is None else chosen.unionAll(some)
+    rows = (docs.select(F.col(id_col).alias("__doc"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+            .join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))   # 2 * sample rows at most
+            .select("__doc", "__label", "__text").collect())
+    rows.sort()
+    return [(r[2], r[1]) for r in rows]
 
 
 def held_out(doc_id: Column) -> Column:
