@@ -263,6 +263,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
     clean_words = sorted(uses)
     pool = [clean_words[i] for i in rng.permutation(len(clean_words))]
     often_used = [w for w in pool if uses[w] > 1] or pool
+    toxic_words = sorted(set().union(*toxic))
     first = _witnesses_by_grams(toxic, plain)
     witnesses = first
     hard: list[str] = []
@@ -300,16 +301,15 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
         scores = model.raw(often_used)
         loss = np.maximum(scores + 1, 0) * np.fromiter((uses[w] for w in often_used), float, len(often_used))
         hard = [often_used[i] for i in np.argsort(-loss, kind="stable")[:1500]]
+        value = dict(zip(toxic_words, model.raw(toxic_words).tolist()))
         witnesses = []
         for bag, before in zip(toxic, first):
-            words = sorted(bag)
-            s = model.raw(words)
-            best = s.max()
-            witnesses.append([w for w, v in zip(words, s) if v >= 0 and (w in before or v >= best - 0.2)])
+            best = max(value[w] for w in bag)
+            witnesses.append([w for w in sorted(bag) if value[w] >= 0 and (w in before or value[w] >= best - 0.2)])
     by_word = dict(zip(pool, model.raw(pool)))
     lowest = float(model.intercept)
     raw = [max((by_word[w] for w in d), default=lowest) for d in plain]
-    raw += [float(model.raw(sorted(d)).max()) for d in toxic]
+    raw += [max(value[w] for w in d) for d in toxic]
     raw, y = np.array(raw), np.array([-1] * len(plain) + [1] * len(toxic))
     model.slope, _ = _platt(raw, y)
     # the decision that separates the training documents best scores THRESHOLD
