@@ -1,10 +1,10 @@
 """Byte-level BPE: encoding in linear time, and decoding.
 
-The vocabulary's byte strings, read as Latin-1, form an Aho-Corasick
-automaton; one pass over a piece gives every token that starts at every
-position.  Encoding then walks the piece from the left, takes the longest
-token that may stand after the last one, and steps back to the next shorter
-one where no token fits.  Two tokens may stand side by side exactly if merging
+The vocabulary's byte strings, read as Latin-1, form the trie of an
+Aho-Corasick automaton, which gives the longest match at a position; no token
+is longer than a fixed number of bytes.  Encoding walks a piece from the left,
+takes the longest token that may stand after the last one, and steps back to
+the next shorter one where no token fits.  Two tokens may stand side by side exactly if merging
 the bytes of both by rank gives these two tokens again; that answer is
 remembered per pair.  A prefix has only one valid tokenisation, so a position
 once found to be a dead end is never entered again: the work is linear in the
@@ -17,6 +17,7 @@ without special tokens.
 from __future__ import annotations
 
 import base64
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from ratelens.llm.common import in_workers
 
-MEMO = 1 << 17      # pieces remembered by a Python worker
+MEMO = 1 << 17      # pieces a Python worker remembers in each of two generations
 PAIRS = 1 << 20     # token pairs remembered by a Python worker
 SLICE = 4 << 20     # bytes of text encoded between two output batches
 
@@ -44,6 +45,27 @@ def read_ranks(path: str) -> dict[bytes, int]:
                 for token, rank in (line.split() for line in lines if line.strip())}
 
 
+class Memo(dict):
+    """Packed ids by piece.  When it is full it becomes the old generation, of
+    which only pieces that are met again are carried over."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(piece) <= 64:
+            if len(self) >= MEMO:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class ByteBPE:
     """Encoder and decoder of one vocabulary.
 
@@ -56,14 +78,18 @@ class ByteBPE:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pieces = regex.compile(pattern).findall
+        # for ASCII texts the standard library finds the same pieces faster
+        plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(
+            r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+        self.ascii_pieces = self.pieces if "\\p" in plain else re.compile(plain, re.ASCII).findall
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
             # a token that merging its own bytes doesn't give can't be chosen
             if self.merge(token) == [rank]:
-                self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
-        self.automaton.make_automaton()
+                self.automaton.add_word(token.decode("latin-1"), rank)
+        self.longest = max(map(len, ranks))
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo(lambda piece: array("i", self.encode_piece(piece.encode("utf-8"))).tobytes())
 
     def merge(self, piece: bytes) -> list[int]:
         """Plain merging by rank, used on one or two tokens' bytes only."""
@@ -94,51 +120,44 @@ class ByteBPE:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (rank, length) in self.automaton.iter(piece.decode("latin-1")):
-            starts[end - length + 1].append((rank, length))  # shortest first
+        n, latin = len(piece), piece.decode("latin-1")
+        pairs, get, reach = self.pairs, self.automaton.get, self.longest
         out: list[int] = []
-        at: list[int] = []          # where each token of ``out`` starts
-        tried: list[int] = []       # and how many tokens were given up there
+        ends = [0]                  # where each token of ``out`` starts, and the next one
         dead = bytearray(n + 1)
-        pos = skip = 0
+        pos, length = 0, -1         # -1: nothing tried at this place yet
         while pos < n:
-            choices = starts[pos]
-            found = False
-            for k in range(len(choices) - 1 - skip, -1, -1):
-                rank, length = choices[k]
-                if not dead[pos + length] and (not out or self.compatible(out[-1], rank)):
-                    out.append(rank)
-                    at.append(pos)
-                    tried.append(len(choices) - 1 - k)
-                    pos += length
-                    skip = 0
-                    found = True
-                    break
-            if not found:
+            if length < 0:
+                length = self.automaton.longest_prefix(latin[pos:pos + reach])
+            while length:
+                rank = get(latin[pos:pos + length], -1)
+                if rank >= 0 and not dead[pos + length]:
+                    if not out:
+                        break
+                    fits = pairs.get((out[-1], rank))
+                    if fits or fits is None and self.compatible(out[-1], rank):
+                        break
+                length -= 1
+            if length:
+                out.append(rank)
+                pos += length
+                ends.append(pos)
+                length = -1
+            else:                   # a dead end: the token before it has to be shorter
                 dead[pos] = 1
                 if not out:
                     raise ValueError("the vocabulary lacks a single byte")
                 out.pop()
-                pos = at.pop()
-                skip = tried.pop() + 1
+                ends.pop()
+                length = pos - ends[-1] - 1
+                pos = ends[-1]
         return out
 
     def packed(self, text: str | None) -> bytes:
         """The text's ids as native 32-bit integers."""
-        memo = self.memo
-        out = []
-        for piece in self.pieces(text or ""):
-            ids = memo.get(piece)
-            if ids is None:
-                ids = array("i", self.encode_piece(piece.encode("utf-8"))).tobytes()
-                if len(piece) <= 64:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        text = text or ""
+        pieces = self.ascii_pieces(text) if text.isascii() else self.pieces(text)
+        return b"".join(map(self.memo.__getitem__, pieces))
 
     def encode(self, text: str | None) -> list[int]:
         return np.frombuffer(self.packed(text), np.int32).tolist()
