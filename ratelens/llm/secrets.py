@@ -63,8 +63,8 @@ CANDIDATE = (r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z0-9_+/=.-]{0,80}[0-9])[A-Za-z0-9_+
 
 def spots(text: str) -> Iterator[tuple[int, int]]:
     """Stretches of a text where a candidate can be: the words that hold a
-    digit, an assignment sign or a long run of capitals, and the word after a
-    sign.  All other words are passed over at scanning speed."""
+    digit, an assignment sign or a long run of capitals, and the words after a
+    sign up to one that ends in none.  All other words are passed over at scanning speed."""
     done, n = 0, len(text)
     while m := _SPOT.search(text, done):
         a = m.start()
@@ -72,9 +72,8 @@ def spots(text: str) -> Iterator[tuple[int, int]]:
             a -= 1
         end = _SPACE.search(text, m.end())
         b = end.start() if end else n
-        if text[b - 1] in ":=\"'":
-            word = _WORD.search(text, b)
-            b = word.end() if word else n
+        while text[b - 1] in ":=\"'" and (word := _WORD.search(text, b)):
+            b = word.end()       # the word after a sign may end in one itself
         yield a, b
         done = b
 
