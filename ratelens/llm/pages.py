@@ -57,6 +57,9 @@ _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
+#: What can stand in a head; any other start tag, or text, ends an open one.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title",
+           "head"}
 #: Start tags that end an open element of these names.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -90,8 +93,9 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
 
     Character references are decoded, white space inside a block becomes one
     space, blocks without text give nothing; unclosed and stray tags are taken
-    as browsers do, roughly: a block's start tag ends an open paragraph, an end
-    tag closes what is open inside its element, and is ignored without one.
+    as browsers do, roughly: a block's start tag ends an open paragraph, text
+    and what cannot stand in a head end an open head, an end tag closes what is
+    open inside its element, and is ignored without one.
     """
     page = page or ""
     out: list[tuple[str, int]] = []
@@ -114,11 +118,17 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
             opened[stack.pop()[0]] -= 1
         zone, silent = (stack[-1][1], stack[-1][2]) if stack else (PLAIN, False)
 
+    def end_head():
+        while stack and stack[-1][0] == "head":
+            close(len(stack) - 1)
+
     at, n = 0, len(page)
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
             lt = n
+        if silent and stack[-1][0] == "head" and page[at:lt].strip():
+            end_head()
         if lt > at and not silent:
             text.append(page[at:lt])
         if lt == n:
@@ -147,6 +157,8 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
                 flush()
             close(k)
             continue
+        if silent and name not in IN_HEAD:
+            end_head()
         if name == "br":
             if not silent:
                 text.append(" ")

@@ -74,3 +74,15 @@ def test_differencing_nearest_urls_and_edges(spark):
         df.where("page_id IS NOT NULL").selectExpr("page_id AS page", "url"), 3).collect()}
     assert pairs[1] == 2 and pairs[2] == 1 and pairs[3] in (1, 2) and pairs[4] is None and pairs[5] == 6
     assert pages.main_text(df.limit(0)).collect() == []
+
+
+def test_omitted_tags_of_head_body_and_html():
+    def text(page):
+        return [t for t, z in pages.lines_of(page) if z != pages.OFF]
+    body = "<article><p>one<p>two</article>"
+    for start in ("<html><head><title>T</title><body>", "<head><title>T</title>", "<html><head>", "<title>T</title><body>", "",
+                  "<head><meta charset=utf-8><link rel=x><script>var a</script><style>p{}</style>\n",
+                  "<head><head><title>T</title>", "<head><template><p>no</p></template>", "<head><title>T</title></head>"):
+        assert text(start + body) == text(start + body + "</body></html>") == ["one", "two"], start
+    assert text("<head><title>T</title>bare text<p>next") == ["bare text", "next"]
+    assert text("<head><title>T</title><b>bold</b> text") == ["bold text"]
