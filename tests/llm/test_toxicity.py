@@ -83,3 +83,10 @@ def test_edges(spark):
     nothing = toxicity.toxicity(docs, labels.where("toxic = 0")).collect()
     assert {r.score for r in nothing} == {0.0}
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_training_rows_take_1500_documents_a_class(spark):
+    docs = spark.range(8000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
+    rows = toxicity.training_rows(docs, labels)
+    assert [sum(label == v for _, label in rows) for v in (0, 1)] == [1500, 1500]
