@@ -27,4 +27,21 @@ LLM_ORACLE_SQL: dict[str, str] = {
                CASE WHEN r.stays THEN r.gone ELSE 0 END AS n_dropped,
                md5(CASE WHEN r.stays AND r.gone > 0 THEN r.text ELSE d.text END) AS text_md5
         FROM d JOIN rebuilt r ON d.source IS NOT DISTINCT FROM r.source AND d.body = r.body""",
+    # plain comparisons of every url with every rule
+    "op11_url_filter": r"""
+        WITH rules(rh, rp, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+                 ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+        rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r
+                 FROM pages),
+        bare AS (SELECT page_id, string_split(string_split(r, '?')[1], '#')[1] AS r FROM rest),
+        urls AS (SELECT page_id,
+                        translate(string_split(r, '/')[1], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                        CASE WHEN strpos(r, '/') > 0 THEN substr(r, strpos(r, '/')) ELSE '' END AS path FROM bare),
+        best AS (SELECT u.page_id, u.host, u.path, arg_max(k.rh || k.rp, length(k.rh || k.rp)) AS rule,
+                        arg_max(k.verdict, length(k.rh || k.rp)) AS verdict
+                 FROM (SELECT DISTINCT page_id, host, path FROM urls) u
+                 JOIN rules k ON (u.host = k.rh OR ends_with(u.host, '.' || k.rh)) AND starts_with(u.path, k.rp)
+                 GROUP BY ALL)
+        SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
+        FROM urls u LEFT JOIN best b USING (page_id, host, path)""",
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import bpe, chaining, chat, ego, lines, pages, secrets, simhash, toxicity, winnow
+from ratelens.llm import (bpe, chaining, chat, ego, lines, pages, secrets, simhash, toxicity,
+                          urls, winnow)
 from ratelens.sources.tables import read_table
 
 
@@ -76,6 +77,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+#: (host, path, verdict) of the url filter's query
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url, judged by the longest rule that fits."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's last stage over all documents."""
     import corpus_pipeline
@@ -90,6 +107,7 @@ LLM_QUERIES = {
     "op7_chat_formatting": op7_chat_formatting,
     "pipeline": pipeline,
     "op10_toxicity": op10_toxicity,
+    "op11_url_filter": op11_url_filter,
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
