@@ -44,4 +44,32 @@ LLM_ORACLE_SQL: dict[str, str] = {
                  GROUP BY ALL)
         SELECT u.page_id, u.host, u.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
         FROM urls u LEFT JOIN best b USING (page_id, host, path)""",
+    # dense: every source, or language, with every kept term
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+                   FROM documents),
+        word AS (SELECT row_id, lang, source,
+                        unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        kept AS (SELECT lang, term FROM word GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3),
+        v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+        src AS (SELECT DISTINCT lang, source FROM d),
+        cnt AS (SELECT lang, source, term, count(*) AS c FROM word SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        dense AS (SELECT s.lang, s.source, k.term, coalesce(c.c, 0)::HUGEINT AS c
+                  FROM src s JOIN kept k USING (lang) LEFT JOIN cnt c USING (lang, source, term)),
+        p AS (SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 1)) //
+                     (sum(c) OVER (PARTITION BY lang, source) + v)::HUGEINT AS p FROM dense JOIN v USING (lang)),
+        whole AS (SELECT lang, term, sum(c)::HUGEINT AS c FROM dense GROUP BY ALL),
+        q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 1)) //
+                     (sum(c) OVER (PARTITION BY lang) + v)::HUGEINT AS q FROM whole JOIN v USING (lang)),
+        f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+                 FROM src a JOIN src b ON a.lang = b.lang AND a.source <> b.source
+                 LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+        term AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+                 FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+                       FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+        WHERE part = 'pair' OR rank <= 200""",
 }

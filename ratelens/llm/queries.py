@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelens.llm import (bpe, chaining, chat, ego, lines, pages, secrets, simhash, toxicity,
-                          urls, winnow)
+from ratelens.llm import (bpe, chaining, chat, divergence, ego, lines, pages, secrets, simhash,
+                          toxicity, urls, winnow)
 from ratelens.sources.tables import read_table
 
 
@@ -93,6 +93,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the other sources of its language, and
+    its most divergent terms."""
+    return divergence.divergences(read_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's last stage over all documents."""
     import corpus_pipeline
@@ -108,6 +114,7 @@ LLM_QUERIES = {
     "pipeline": pipeline,
     "op10_toxicity": op10_toxicity,
     "op11_url_filter": op11_url_filter,
+    "op13_source_divergence": op13_source_divergence,
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op8_byte_bpe": op8_byte_bpe,
