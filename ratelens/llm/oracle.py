@@ -72,4 +72,32 @@ LLM_ORACLE_SQL: dict[str, str] = {
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
                        FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
         WHERE part = 'pair' OR rank <= 200""",
+    # every prefix of every conversation, joined with all its ancestors
+    "op12_conversation_trie": r"""
+        WITH said AS (SELECT conv_id, md5(length(r) || ':' || r || t) AS u, strlen(t) AS b,
+                             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k
+                      FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t
+                            FROM conversations WHERE conv_id IS NOT NULL)),
+        -- CRC-32 (reflected, polynomial 0xEDB88320) of the id's digits
+        c AS (SELECT conv_id, xor(4294967295, list_reduce(
+                         list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+                         lambda crc, x: list_reduce(list_prepend(xor(crc, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END))) % 9 AS h
+              FROM (SELECT DISTINCT conv_id FROM said)),
+        rebuilt AS (SELECT c.conv_id, s.k, s.u, s.b FROM c JOIN said s ON s.conv_id = c.conv_id - c.conv_id % 5 AND s.k <= c.h
+                    UNION ALL SELECT c.conv_id, s.k, s.u, s.b FROM c JOIN said s ON s.conv_id = c.conv_id AND s.k > c.h),
+        member AS (SELECT conv_id, row_number() OVER w AS depth, string_agg(u, '') OVER w AS key, b
+                   FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+                   UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+        node AS (SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(b) AS b FROM member GROUP BY key, depth),
+        up AS (SELECT left(key, 32 * (depth - 1)) AS key, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+        own AS (SELECT n.*, coalesce(u.n_children, 0) AS n_children FROM node n LEFT JOIN up u USING (key)),
+        under AS (SELECT left(key, 32 * j) AS key, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * b) AS saved_tokens
+                  FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM own) GROUP BY 1),
+        ends AS (SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+                 FROM (SELECT conv_id, arg_max(key, depth) AS key FROM member GROUP BY conv_id) GROUP BY key)
+        SELECT o.conv_id, o.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children,
+               s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, coalesce(e.ends_sha256, sha256('')) AS ends_sha256
+        FROM own o JOIN under s USING (key) LEFT JOIN ends e USING (key)
+        LEFT JOIN own p ON o.depth > 0 AND p.key = left(o.key, 32 * (o.depth - 1))""",
 }

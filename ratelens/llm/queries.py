@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelens.llm import (bpe, chaining, chat, divergence, ego, lines, pages, secrets, simhash,
-                          toxicity, urls, winnow)
+                          toxicity, trie, urls, winnow)
+from ratelens.llm.common import cut_lineage
 from ratelens.sources.tables import read_table
 
 
@@ -93,6 +94,12 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, rebuilt so that they begin alike."""
+    convs = cut_lineage(trie.turn_sequences(read_table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(trie.grafted(convs))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergence of every source from the other sources of its language, and
     its most divergent terms."""
@@ -114,6 +121,7 @@ LLM_QUERIES = {
     "pipeline": pipeline,
     "op10_toxicity": op10_toxicity,
     "op11_url_filter": op11_url_filter,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_source_divergence": op13_source_divergence,
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op5_line_dedup": op5_line_dedup,
