@@ -3,10 +3,13 @@ source's, with exact integer arithmetic.
 
 Terms are counted by Arrow compute functions inside tasks (``ascii_lower``,
 ``split_pattern_regex``, ``dictionary_encode``, hash ``group_by``), which
-leave partial counts per (language, source, term); Spark adds them up.  A
-language keeps the terms that at least ``MIN_DOCS`` of its documents use
-(its V terms).  Every group of counts, a source's or the language's, gives a
-kept term
+leave partial counts per (language, source, term).  They travel as columns: a
+task deals the terms of a language into shards by their hash and writes one
+row of arrays a shard.  The rows of a shard are merged by the same ``group_by``
+in one task; there are as many shards a language as shuffle partitions, so a
+shard grows as a partition does.  A language keeps the terms that at least
+``MIN_DOCS`` of its documents use (its V terms), which a shard can tell.
+Every group of counts, a source's or the language's, gives a kept term
 
     p = 1 + floor(SCALE * (count + 1) / (N + V)),   N = sum of its counts,
 
@@ -31,7 +34,10 @@ result; other columns of the input are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +58,9 @@ BYTES, ROWS = 8 << 20, 400_000
 #: block, cells that a task computes at a time
 SHARD, SOURCES, CELLS = 4096, 512, 1 << 20
 
-_COUNTS = "lang string, source string, term string, n bigint, docs bigint"
+_SHARDS = ("lang string, shard int, terms array<string>, entries array<int>, sources array<string>, "
+           "source_at array<int>, n array<bigint>, docs array<bigint>")
+_COUNTS = "lang string, source string, term string, n bigint, total bigint"
 _SUMS = "lang string, a bigint, b bigint, value bigint"
 
 
@@ -63,7 +71,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     while at < batch.num_rows:
         base = sizes[at - 1] if at else 0
         end = max(at + 1, int(np.searchsorted(sizes, base + BYTES, "right")))
-        yield batch.slice(at, end - at)
+        yield batch.take(pa.array(np.arange(at, end)))  # ascii_lower reads a slice's text from its start
         at = end
 
 
@@ -100,9 +108,47 @@ def _merged(tables: list[pa.Table]) -> pa.Table:
     return t.rename_columns({"n_sum": "n", "docs_sum": "docs"}).select(["lang", "source", "term", "n", "docs"])
 
 
-def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, source, text -> lang, source, term, n, docs: added up over what a
-    task has read, and let go at ``ROWS`` rows."""
+def _packed(counts: pa.Table, shards: int) -> Iterator[pa.RecordBatch]:
+    """Counts as one row per (lang, shard): its terms, each with its number of
+    ``entries``, and per entry the place of its source among ``sources``, n and
+    docs."""
+    coded = {c: counts[c].combine_chunks().dictionary_encode() for c in ("lang", "source", "term")}
+    terms, langs, sources = coded["term"].dictionary, coded["lang"].dictionary, coded["source"].dictionary
+    # the entry without a term stands behind all others, in shard 0
+    term = pc.fill_null(coded["term"].indices, len(terms)).to_numpy(zero_copy_only=False)
+    shard_of = np.fromiter((zlib.crc32(t) % shards for t in terms.cast(pa.binary()).to_pylist()), np.int64, len(terms))
+    shard = np.append(shard_of, 0)[term]
+    lang, source = (coded[c].indices.to_numpy(zero_copy_only=False) for c in ("lang", "source"))
+    order = np.lexsort((term, shard, lang))
+    lang, shard, term, source = lang[order], shard[order], term[order], source[order]
+    n, docs = (counts[c].to_numpy()[order] for c in ("n", "docs"))
+    terms = pa.concat_arrays([terms, pa.nulls(1, terms.type)])
+    cuts = np.flatnonzero((np.diff(lang) != 0) | (np.diff(shard) != 0)) + 1
+    rows: dict[str, list] = {f.split()[0]: [] for f in _SHARDS.split(", ")}
+    bounds = [0, *cuts.tolist(), len(lang)] if len(lang) else []
+    for lo, hi in zip(bounds, bounds[1:]):
+        here, entries = np.unique(term[lo:hi], return_counts=True)
+        used, at = np.unique(source[lo:hi], return_inverse=True)
+        for name, value in (("lang", langs[int(lang[lo])]), ("shard", int(shard[lo])), ("terms", terms.take(pa.array(here))),
+                            ("entries", entries), ("sources", sources.take(pa.array(used))), ("source_at", at),
+                            ("n", n[lo:hi]), ("docs", docs[lo:hi])):
+            rows[name].append(value)
+
+    def lists(name: str, kind: pa.DataType) -> pa.Array:
+        sizes = np.cumsum([0, *map(len, rows[name])], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(sizes), pa.concat_arrays([pa.array(v).cast(kind) for v in rows[name]]))
+
+    if rows["lang"]:
+        yield pa.record_batch({
+            "lang": pa.array([v.as_py() for v in rows["lang"]], pa.string()), "shard": pa.array(rows["shard"], pa.int32()),
+            "terms": lists("terms", pa.string()), "entries": lists("entries", pa.int32()),
+            "sources": lists("sources", pa.string()), "source_at": lists("source_at", pa.int32()),
+            "n": lists("n", pa.int64()), "docs": lists("docs", pa.int64())})
+
+
+def partial_counts(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """lang, source, text -> shards of counts, added up over what a task has
+    read, and let go at ``ROWS`` entries."""
     held: list[pa.Table] = []
     for batch in batches:
         for piece in _slices(batch):
@@ -110,21 +156,55 @@ def partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if sum(t.num_rows for t in held) > ROWS:
                 held = [_merged(held)]
                 if held[0].num_rows > ROWS // 2:
-                    yield from held.pop().to_batches(max_chunksize=50_000)
+                    yield from _packed(held.pop(), shards)
     if held:
-        yield from _merged(held).to_batches(max_chunksize=50_000)
+        yield from _packed(_merged(held), shards)
+
+
+def _unpacked(row: dict[str, pa.Scalar]) -> pa.Table:
+    """The counts of one row of ``_packed``."""
+    v = {k: row[k].values for k in ("terms", "entries", "sources", "source_at", "n", "docs")}
+    terms = v["terms"].take(pa.array(np.repeat(np.arange(len(v["terms"])), v["entries"].to_numpy())))
+    return pa.table({"lang": pa.repeat(row["lang"], len(terms)), "source": v["sources"].take(v["source_at"]),
+                     "term": terms, "n": v["n"], "docs": v["docs"]})
+
+
+def _kept(counts: pa.Table) -> list[pa.RecordBatch]:
+    """Of a shard's merged counts the terms that enough documents of the
+    language use, with the language's count, and the entries without a term."""
+    per_term = counts.group_by("term").aggregate([("n", "sum"), ("docs", "sum")])
+    coded, names = counts["term"].combine_chunks(), per_term["term"].combine_chunks()
+    at = pc.index_in(coded, names)
+    total, docs = per_term["n_sum"].take(at), per_term["docs_sum"].take(at)
+    kept = pc.or_(pc.is_null(coded), pc.greater_equal(docs, MIN_DOCS))
+    table = counts.drop_columns("docs").append_column("total", total).filter(kept)
+    return table.select(["lang", "source", "term", "n", "total"]).combine_chunks().to_batches()
+
+
+def _merge_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_packed`` sorted by (lang, shard) -> kept counts."""
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield {c: batch[c][i] for c in batch.schema.names}
+
+    for _, same in groupby(rows(), lambda r: (r["lang"].as_py(), r["shard"].as_py())):
+        held: list[pa.Table] = []
+        for row in same:
+            held.append(_unpacked(row))
+            if sum(t.num_rows for t in held[1:]) > max(ROWS, held[0].num_rows):
+                held = [_merged(held)]
+        yield from _kept(_merged(held))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """``docs(lang, source, text)`` -> kept terms per source: ``(lang, source,
     term, n, total)``, ``total`` being the language's count; and for every
     (lang, source) a row whose term is NULL."""
-    parts = in_workers(docs).select("lang", "source", "text").mapInArrow(partial_counts, _COUNTS)
-    counts = parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    term = Window.partitionBy("lang", "term")
-    return (counts.withColumn("total", F.sum("n").over(term)).withColumn("in_docs", F.sum("docs").over(term))
-            .where(F.col("term").isNull() | (F.col("in_docs") >= MIN_DOCS))
-            .select("lang", "source", "term", "n", "total"))
+    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = in_workers(docs).select("lang", "source", "text").mapInArrow(partial(partial_counts, shards=shards), _SHARDS)
+    return (parts.repartition("lang", "shard").sortWithinPartitions("lang", "shard")
+            .mapInArrow(_merge_shards, _COUNTS))
 
 
 def _p(count: Column, size: Column) -> Column:

@@ -57,6 +57,7 @@ def test_matches_brute_force(spark, monkeypatch, small):
             for i in range(150)]
     rows += [(None, None, "en", "s1"), (1, "", "en", "only-empty"), (1, "common " * 3000, "en", "s1")] + rows[:3] * 4
     rows += [(i, "hot word common", "en", "hot") for i in range(200)]
+    rows += [(i, f"É{i} ÉÉ wörd " * 3, "de", "s2") for i in range(40)]
     rows += [(7, "rare", "xx", "s1"), (8, "other", "xx", "s2"), (9, None, "yy", "alone")]
     check(spark, rows)
 
