@@ -38,6 +38,30 @@ c AS (
   FROM x)
 """
 
+# text as a browser shows it: spaces folded, lines trimmed, blank lines left out
+_SHOWN = ("trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(v, '&lt;', '<'), '&gt;', '>'), "
+          "'&quot;', chr(34)), '&middot;', chr(183)), '&amp;', '&'), '[ \\t\\r\\f\\v\u00a0]+', ' ', 'g'), "
+          "' ?\\n[ \\n]*', chr(10), 'g'), ' ' || chr(10))")
+# pages cut at their tags as text
+_CUT = f"""
+cut AS (
+  SELECT page_id, html,
+    string_split(split_part(substr(html, strpos(html, '<nav>')), '</nav>', 1), '</a>') AS links,
+    string_split(split_part(substr(html, strpos(html, '<article>')), '</article>', 1), '<p>')[2:] AS paragraphs
+  FROM pages),
+shown AS (
+  SELECT page_id, html, list_transform(paragraphs, lambda s: replace(split_part(s, '</p>', 1), '<br>', chr(10))) AS raw,
+    list_transform(list_filter(links, lambda s: contains(s, '<a ')),
+      lambda s: substr(split_part(s, '<a ', 2), strpos(split_part(s, '<a ', 2), '>') + 1)) AS labels
+  FROM cut),
+texts AS (
+  SELECT page_id, html, raw,
+    list_transform(labels, lambda v: {_SHOWN}) AS labels,
+    list_transform(list_transform(raw, lambda s: replace(s, '<b>', '')), lambda v: {_SHOWN}) AS whole,
+    list_transform(list_transform(raw, lambda s: split_part(s, '<b>', 2)), lambda v: {_SHOWN}) AS bold
+  FROM shown)
+"""
+
 _ORDER = ("l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST, "
           "l_extendedprice NULLS FIRST, l_quantity NULLS FIRST")
 
@@ -290,4 +314,42 @@ SELECT status, COUNT(*) AS requests,
   CAST(SUM(CASE WHEN status = 'offers' THEN len(n) ELSE 0 END) AS BIGINT) AS offers,
   COUNT(*) FILTER (WHERE status = 'offers' AND len(n) = 0) AS no_sellers
 FROM c GROUP BY status""",
+
+    "element_scope": f"""WITH {_CUT},
+kept AS (
+  SELECT page_id, 'nav' AS scope, list_filter(labels, lambda v: v <> '') AS t FROM texts
+  UNION ALL SELECT page_id, 'article', list_filter(whole, lambda v: v <> '') FROM texts)
+SELECT page_id, scope, CAST(i AS INTEGER) AS pos, t[i] AS text FROM kept, unnest(range(1, len(t) + 1)) AS u(i)""",
+
+    "place_flags": f"""WITH {_CUT}
+SELECT page_id,
+  coalesce(len(string_split(split_part(substr(html, strpos(html, '<nav>')), '</nav>', 1), '<li>')) > 6
+    OR len(raw) >= 30, false) AS not_available,
+  coalesce(contains(html, 'class="ad"') OR starts_with(raw[2], '<b>'), false) AS contact
+FROM texts""",
+
+    "block_fields": f"""WITH {_CUT}
+SELECT page_id, CAST(i AS INTEGER) AS block, nullif(bold[i], '') AS bold, nullif(whole[i], '') AS whole
+FROM texts, unnest(range(1, len(raw) + 1)) AS u(i)""",
+
+    "rule_winner": f"""WITH {_CUT},
+body AS (
+  SELECT *, substr(html, strpos(html, '<body>')) AS b FROM texts),
+tried AS (
+  SELECT page_id, 'name' AS field, 1 AS priority, 'class' AS kind, 'ad' AS key,
+    len(string_split(b, '<div class="ad">')) - 1 AS n,
+    split_part(split_part(b, '<div class="ad">', 2), '</div>', 1) AS v FROM body
+  UNION ALL SELECT page_id, 'name', 2, 'tag', 'h1', len(string_split(b, '<h1>')) - 1,
+    split_part(split_part(b, '<h1>', 2), '</h1>', 1) FROM body
+  UNION ALL SELECT page_id, 'price', 1, 'tag', 'b', len(string_split(b, '<b>')) - 1,
+    list_filter(raw, lambda s: contains(s, '<b>'))[1] FROM body
+  UNION ALL SELECT page_id, 'price', 2, 'tag', 'p', len(string_split(b, '<p>')) - 1, replace(raw[1], '<b>', '') FROM body),
+won AS (
+  SELECT * FROM tried WHERE n > 0 QUALIFY row_number() OVER (PARTITION BY page_id, field ORDER BY priority) = 1)
+SELECT page_id, field, CAST(priority AS INTEGER) AS priority, kind, key, CAST(n AS BIGINT) AS n_elements,
+  {_SHOWN.replace("(v,", "(replace(v, '<b>', ''),")} AS first_text
+FROM won""",
 }
+
+# the same rules on element intervals
+ORACLE_SQL["page_rate_shop_elements"] = ORACLE_SQL["page_rate_shop_parsed"]

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ratelens.functions.text import clean_price, price_decimal, transliterate
 from ratelens.operators.extract import NativeLayout, ParsedLayout, extract_native
+from ratelens.operators.fields import extract_elements
 from ratelens.operators.offers import request_rows
 from ratelens.operators.outcome import BROKEN, OFFERS, classify
 from ratelens.operators.parsed import extract_parsed
@@ -60,23 +61,26 @@ class RunOutputs:
 
 def extract_captures(captures: DataFrame,
                      layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
-                     keep_labels: bool = False) -> DataFrame:
-    """Per capture: ``request_id, captured_at, page_id, page, html_state,
-    html_hash`` (no html)."""
-    if all(isinstance(x, NativeLayout) for x in layouts):
-        pages = extract_native(captures, layouts)  # type: ignore[arg-type]
-    elif all(isinstance(x, ParsedLayout) for x in layouts):
-        pages = extract_parsed(captures, layouts, keep_labels=keep_labels)  # type: ignore[arg-type]
-    else:
-        raise TypeError("layouts must be all NativeLayout or all ParsedLayout")
+                     keep_labels: bool = False, engine: str = "elements") -> DataFrame:
+    """Per capture: ``request_id, captured_at, page_id, html_state, html_hash,
+    page`` (no html).  ``engine`` reads ``ParsedLayout`` rules: ``elements``
+    (element intervals, no Python) or ``parser`` (one Python function)."""
+    if engine not in ("elements", "parser"):
+        raise ValueError(f"unknown engine: {engine}")
     state = (F.when(F.col("html").isNull(), F.lit("html_missing"))
              .when(F.length("html") == 0, F.lit("html_empty")))
-    cols = ["request_id", "page", state.alias("html_state"), F.xxhash64("html").alias("html_hash")]
-    cols.insert(1, "captured_at" if "captured_at" in captures.columns
-                else F.lit(None).cast("timestamp_ntz").alias("captured_at"))
-    cols.insert(2, "page_id" if "page_id" in captures.columns
-                else F.lit(None).cast("long").alias("page_id"))
-    return pages.select(*cols)
+    missing = {"captured_at": "timestamp_ntz", "page_id": "long"}
+    cols = ["request_id", *[c if c in captures.columns else F.lit(None).cast(t).alias(c) for c, t in missing.items()],
+            state.alias("html_state"), F.xxhash64("html").alias("html_hash")]
+    if all(isinstance(x, NativeLayout) for x in layouts):
+        return extract_native(captures, layouts).select(*cols, "page")  # type: ignore[arg-type]
+    if not all(isinstance(x, ParsedLayout) for x in layouts):
+        raise TypeError("layouts must be all NativeLayout or all ParsedLayout")
+    if engine == "parser":
+        return extract_parsed(captures, layouts, keep_labels=keep_labels).select(*cols, "page")  # type: ignore[arg-type]
+    source = captures.select(*cols, "html")
+    return extract_elements(source, layouts, [c for c in source.columns if c != "html"],  # type: ignore[arg-type]
+                            keep_labels=keep_labels)
 
 
 def latest_capture(extracted: DataFrame) -> DataFrame:
@@ -138,15 +142,16 @@ def run_rate_shop(requests: DataFrame, captures: DataFrame,
                   layouts: Sequence[NativeLayout] | Sequence[ParsedLayout],
                   run_date: str, cut_lineage: bool = True,
                   captured_only: bool = False, extra_prices: bool = False,
-                  require_dates: bool = False) -> RunOutputs:
+                  require_dates: bool = False, engine: str = "elements") -> RunOutputs:
     """The whole run; nothing is computed until an output is written
     (except the checkpoint of the per-request outcomes when ``cut_lineage``).
 
     ``extra_prices`` adds the manifest's fee fields and each seller's
-    average-with-fees and total price read from its block on the page."""
+    average-with-fees and total price read from its block on the page.
+    ``engine`` is the reader of ``ParsedLayout`` rules (:func:`extract_captures`)."""
     if extra_prices and not all(isinstance(x, ParsedLayout) for x in layouts):
         raise ValueError("extra_prices needs parser rules (ParsedLayout)")
-    extracted = extract_captures(captures, layouts, keep_labels=require_dates)
+    extracted = extract_captures(captures, layouts, keep_labels=require_dates, engine=engine)
     extra_cols = list(EXTRA_REQUEST_COLS) if extra_prices else []
     outcomes = classify_requests(requests, latest_capture(extracted), captured_only, extra_cols,
                                  require_dates)

@@ -25,6 +25,7 @@ from ratelens.functions.text import (
     transliterate,
 )
 from ratelens.operators.extract import NativeLayout, ParsedLayout, Test, extract_native
+from ratelens.operators.fields import block_fields, place_flags, rule_winners, scoped_texts
 from ratelens.operators.joins import requests_without, with_offers
 from ratelens.operators.numbering import row_number_within, with_chunk_id
 from ratelens.operators.offers import (
@@ -74,6 +75,12 @@ FALLBACK_LAYOUTS = (
 # Parser rules for the same pages: links are sellers, paragraphs are prices.
 PARSED_PAGE_LAYOUT = ParsedLayout(layout=1, names="a", prices="p", listing=("b",))
 
+# Places and rules of the same pages, for the element operators.
+PLACES = {"not_available": ("body > nav > ul > li:nth(6) > a", "article > p:nth(30)"),
+          "contact": (".ad", "article > p:nth(2) > b")}
+RULE_TABLE = [("name", "class", "ad", 1), ("name", "tag", "h1", 2), ("price", "tag", "b", 1), ("price", "tag", "p", 2),
+              ("flag", "id", "prices", 1)]
+
 TITLE = r'<title>([^<]*)</title>'
 HOST = r'://([^/?#]+)'
 
@@ -398,11 +405,45 @@ def q_page_rate_shop_summary(spark, sf_dir):
 
 def q_page_rate_shop_parsed(spark, sf_dir):
     """The whole run with the HTML parser rules (nested markup, entities)."""
+    out = run_rate_shop(page_requests(spark, sf_dir), page_captures(spark, sf_dir),
+                        [PARSED_PAGE_LAYOUT], RUN_DATE, cut_lineage=False, engine="parser")
+    return out.offers
+
+
+def q_page_rate_shop_elements(spark, sf_dir):
+    """The whole run with the same rules on element intervals: no Python on the
+    row path (E1, E2, E8, E11, F1-F3)."""
     out = run_rate_shop(page_requests(spark, sf_dir), page_captures(spark, sf_dir),
                         [PARSED_PAGE_LAYOUT], RUN_DATE, cut_lineage=False)
     return out.offers
 
 
+def q_element_scope(spark, sf_dir):
+    """Texts of the elements of a kind inside a container, by element intervals
+    (E1, E2): links of the navigation, paragraphs of the article."""
+    pages = _page_table(spark, sf_dir).select("page_id", "html")
+    return (scoped_texts(pages, "nav", "a").withColumn("scope", F.lit("nav"))
+            .unionByName(scoped_texts(pages, "article", "p").withColumn("scope", F.lit("article"))))
+
+
+def q_place_flags(spark, sf_dir):
+    """Flags by an element's place in the page, two alternatives each (F1, F2)."""
+    return place_flags(_page_table(spark, sf_dir).select("page_id", "html"), PLACES)
+
+
+def q_block_fields(spark, sf_dir):
+    """Fields of every block, NULL where the block has none (E8, P9): the bold
+    part of each paragraph, the paragraph itself for comparison."""
+    pages = _page_table(spark, sf_dir).select("page_id", "html")
+    return block_fields(pages, "article > p", {"bold": "b", "whole": "p"})
+
+
+def q_rule_winner(spark, sf_dir):
+    """Rules as a table; per page and field the first rule that matches."""
+    rules = spark.createDataFrame(RULE_TABLE, "field string, kind string, key string, priority int")
+    return rule_winners(_page_table(spark, sf_dir).select("page_id", "html"), rules)
+
+
 def q_page_legacy_rows(spark, sf_dir):
     """The legacy result CSV rows of the whole run, sentinel texts in place
     (P4, P6, P7)."""
@@ -454,5 +495,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_rate_shop_summary": q_page_rate_shop_summary,
     "page_rate_shop_parsed": q_page_rate_shop_parsed,
     "page_legacy_rows": q_page_legacy_rows,
+    "page_rate_shop_elements": q_page_rate_shop_elements,
+    "element_scope": q_element_scope,
+    "place_flags": q_place_flags,
+    "block_fields": q_block_fields,
+    "rule_winner": q_rule_winner,
     "chunk_summary": q_chunk_summary,
 }
