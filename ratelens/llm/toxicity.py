@@ -8,9 +8,10 @@ ending leaves most of its subsequences, so the kernel stays high.  Separators
 inside a word are dropped, look-alike digits and signs become letters, and
 letters written apart count as one word.
 
-Training follows multiple-instance learning: a toxic document's label
-belongs to its worst sentence, a clean document's label to all its sentences.
-The kernel is approximated by Nyström landmarks (insult-like and plain words
+Training follows multiple-instance learning on words: a toxic document's
+label belongs to its worst words, a clean document's label to all its words.
+(Sentences only bound the words written apart; a phrase of ordinary words is
+not an insult to this model.)  The kernel is approximated by Nyström landmarks (insult-like and plain words
 of the training sentences), and a linear support vector machine is fitted in
 that space; hard clean words and better witnesses are added in rounds.  A
 document's score is that of its worst word, on a logistic curve that is THRESHOLD
@@ -20,8 +21,8 @@ As the machine is linear in the landmarks, its decision on a word is a
 weighted sum over the word's own subsequences: the landmarks' weights are
 added up once in a table (CODES^3 numbers, sent to the tasks), and scoring a
 word looks up its subsequences.  The model is fitted on a bounded sample of
-labelled documents (SAMPLE of each class, by hash of the id); every text is
-scored whole.
+labelled documents (SAMPLE of each class, by hash of the id) in one task; every
+text is scored whole.
 """
 
 from __future__ import annotations
@@ -47,6 +48,10 @@ PART = 14             # longer words are read through windows of this length
 LANDMARKS = 256
 SAMPLE = 1500         # labelled documents of each class used for fitting
 ROUNDS = 4
+# words of the training documents that a round fits on, at most: insult-like
+# ones by frequency (the first DISGUISED also disguised), any clean ones, and
+# the clean ones that the round before got most wrong
+WITNESSES, DISGUISED, PLAIN, HARD = 4000, 300, 2500, 1500
 THRESHOLD = 0.3
 COST = 5.0
 MEMO = 1 << 19        # words remembered by a Python worker
@@ -213,6 +218,10 @@ class Model:
         ends = np.cumsum([len(ps) for ps in split])
         return np.maximum.reduceat(sums, np.concatenate(([0], ends[:-1]))) if split else np.zeros(0)
 
+    def raw_part(self, part: str) -> float:
+        """The machine's decision on one window of a word."""
+        return float(kernel_sums([part], self.table)[0, 0]) + self.intercept
+
     def probability(self, raw: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.shift, -35, 35)))
 
@@ -274,11 +283,14 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
         share = len(toxic) / len(plain)
         counts = {w: n for w, n in counts.items()
                   if n - uses[w] * share >= 2.5 * np.sqrt(uses[w] * share)} or dict(counts)
-        bad = sorted(counts, key=lambda w: (-counts[w], w))[:4000]
+        bad = sorted(counts, key=lambda w: (-counts[w], w))[:WITNESSES]
         taken = set(bad)
-        good = [w for w in dict.fromkeys(hard + pool[:2500]) if w not in taken]
-        bad += [v for w in bad[:300] if w in counts for v in _disguised(w, rng)]
-        x_bad = [parts(w)[0] for w in bad]
+        good = [w for w in dict.fromkeys(hard + pool[:PLAIN]) if w not in taken]
+        if not good:  # every clean word is also a witness: both classes train on them
+            good = pool[:PLAIN]
+        bad += [v for w in bad[:DISGUISED] if w in counts for v in _disguised(w, rng)]
+        # of a long word the window that the machine so far finds worst
+        x_bad = [max(parts(w), key=lambda p: model.raw_part(p)) if model and len(w) + 2 > PART else parts(w)[0] for w in bad]
         x_good, n_good = zip(*((p, uses[w]) for w in good for p in parts(w)))
         # landmarks: frequent and other witnesses, the hardest clean words, and any
         often = list(dict.fromkeys(x_bad))
@@ -300,7 +312,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
         # the clean documents' worst words, and the toxic documents' witnesses again
         scores = model.raw(often_used)
         loss = np.maximum(scores + 1, 0) * np.fromiter((uses[w] for w in often_used), float, len(often_used))
-        hard = [often_used[i] for i in np.argsort(-loss, kind="stable")[:1500]]
+        hard = [often_used[i] for i in np.argsort(-loss, kind="stable")[:HARD]]
         value = dict(zip(toxic_words, model.raw(toxic_words).tolist()))
         witnesses = []
         for bag, before in zip(toxic, first):
@@ -339,9 +351,9 @@ class Scorer:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic", sample: int = SAMPLE) -> list[tuple[str, int]]:
-    """At most ``sample`` labelled documents of each class, in the order of a
-    hash of their id; rows of the held-out quarter are never used."""
+                  label_col: str = "toxic", sample: int = SAMPLE) -> DataFrame:
+    """At most ``sample`` labelled documents of each class, by a hash of their
+    id, as ``(id, label, text)``; the held-out quarter is never used."""
     known = (labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label"))
              .where("__label IN (0, 1)").where(~held_out(F.col("__id"))).distinct())
     chosen = None
@@ -350,11 +362,31 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
         some = (known.where(F.col("__label") == label)
                 .orderBy(F.xxhash64("__id"), "__id").limit(sample))
         chosen = some if chosen is None else chosen.unionAll(some)
-    rows = (docs.select(F.col(id_col).alias("__doc"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    return (docs.select(F.col(id_col).alias("__doc"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
             .join(F.broadcast(chosen), F.col("__doc") == F.col("__id"))   # 2 * sample rows at most
-            .select("__doc", "__label", "__text").collect())
-    rows.sort()
-    return [(r[2], r[1]) for r in rows]
+            .select(F.col("__doc").cast("string").alias("id"), F.col("__label").cast("int").alias("label"),
+                    F.col("__text").alias("text")))
+
+
+def _fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all training rows, one row; none without a model."""
+    rows = [r for b in batches for r in zip(*(b[c].to_pylist() for c in ("id", "label", "text")))]
+    rows.sort(key=lambda r: (len(r[0]), *r))
+    model = fit([(text, label) for _, label, text in rows])
+    if model is not None:
+        yield pa.record_batch({"weights": pa.array([model.table.astype(np.float64).tobytes()], pa.binary()),
+                               **{k: pa.array([getattr(model, k)], pa.float64()) for k in ("intercept", "slope", "shift")}})
+
+
+def fitted(rows: DataFrame) -> Model | None:
+    """``fit`` in one task over a bounded number of rows (``training_rows``), so
+    that the driver gets the model alone: CODES^3 numbers."""
+    found = (in_workers(rows).repartition(1)
+             .mapInArrow(_fit_rows, "weights binary, intercept double, slope double, shift double").collect())
+    if not found:
+        return None
+    m = found[0]
+    return Model(np.frombuffer(bytes(m.weights), np.float64)[:, None], m.intercept, m.slope, m.shift)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -397,7 +429,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     with a NULL id are scored and not held out; repeated rows get the same
     score; an empty table gives an empty result.  Only ids and texts are read.
     """
-    model = fit(training_rows(docs, labels, id_col, text_col, label_col, sample))
+    model = fitted(training_rows(docs, labels, id_col, text_col, label_col, sample))
     scored = score(docs.select(F.col(id_col), F.col(text_col)), model, text_col, "score")
     return scored.select(
         id_col, held_out(F.col(id_col)).alias("held_out"), "score",
@@ -407,6 +439,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                label_col: str = "toxic", threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Rows of ``docs`` that score under ``threshold``; columns stay as they are."""
-    model = fit(training_rows(docs, labels, id_col, text_col, label_col, sample))
+    model = fitted(training_rows(docs, labels, id_col, text_col, label_col, sample))
     return (score(docs, model, text_col, "__toxicity").where(F.col("__toxicity") < threshold)
             .drop("__toxicity"))

@@ -88,5 +88,17 @@ def test_edges(spark):
 def test_training_rows_take_1500_documents_a_class(spark):
     docs = spark.range(8000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS toxic")
-    rows = toxicity.training_rows(docs, labels)
+    rows = [(r.text, r.label) for r in toxicity.training_rows(docs, labels).collect()]
     assert [sum(label == v for _, label in rows) for v in (0, 1)] == [1500, 1500]
+
+
+def test_fit_without_clean_words_left_or_without_a_class(spark):
+    model = toxicity.fit([("the cat", 1), ("the cat", 0)])
+    assert 0 <= model.probability(model.raw(["the"]))[0] <= 1
+    assert toxicity.fit([("the cat", 1)]) is None and toxicity.fit([]) is None
+    rows = spark.createDataFrame([("1", 1, "moron long insultinglyoverlongword"), ("2", 0, "fine words")],
+                                 "id string, label int, text string")
+    here, there = toxicity.fit([("moron long insultinglyoverlongword", 1), ("fine words", 0)]), toxicity.fitted(rows)
+    assert np.allclose(here.table, there.table, atol=1e-5)
+    assert np.allclose((here.slope, here.shift), (there.slope, there.shift), atol=1e-4)
+    assert toxicity.fitted(rows.where("label = 1")) is None and toxicity.fitted(rows.limit(0)) is None
