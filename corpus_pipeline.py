@@ -3,7 +3,8 @@ stage before it kept.
 
 Every stage's rows are written as Parquet and read again as the next one's
 input: to the folder that ``spark.checkpoint.dir`` names, which all executors
-share, so a lost executor repeats work of one stage at most.
+share, so a lost executor repeats work of one stage at most.  A stage's folder
+is deleted once the next stage's rows are written; the last one stays.
 """
 
 from __future__ import annotations
@@ -58,6 +59,12 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of the shared file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last stage's rows."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
@@ -66,4 +73,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if i:
+            _delete(spark, f"{folder}/{i - 1}")  # its rows are in the next stage's folder
     return docs
