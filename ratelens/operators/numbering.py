@@ -1,70 +1,106 @@
 """Row numbering that scales: positions within a key, and global batch ids.
 
-``row_number() OVER (PARTITION BY k ORDER BY o)`` sends every row of a key
-to one task, and a global ``row_number() OVER (ORDER BY o)`` sends the whole
-table to one task.  Both break when one key holds a large share of the rows.
-
-Here rows are first given a *range bucket* over ``(k, o)``: bucket bounds are
-picked from a bounded sample, and the bucket of a row is a deterministic
-expression (a balanced ``CASE`` tree of comparisons against the bounds, or a
-binary search over one array literal when there are many), so a retried task
-or a second branch of the plan always computes the same bucket.  Only keys
-that span several bounds (hot keys) keep their bounds; a hash-set test sends
-every other row to bucket 0, and with no hot key the plan is a plain window.
-A hot key spans several buckets, so the window partitioned by
-``(bucket, k)`` splits it across tasks.  The rows of a key that fall in
-earlier buckets are added back as a *carry*; only keys that equal a bucket
-bound can span buckets, so the carry table has at most a few rows per
-bucket and is broadcast with a proven bound.
-
-Buckets are ranges over the partition keys and the leading order columns
-given by name (ascending); order columns given as sort expressions (e.g.
-``F.col("x").desc()``) take part in the window only.  Rows that tie on the
-whole bucket key cannot be split (their relative order is decided inside one
-window task); give a unique tiebreaker by name if such ties can be large.
+``row_number() OVER (PARTITION BY k ORDER BY o)`` sends every row of a key to
+one task, and a global ``row_number() OVER (ORDER BY o)`` the whole table.
+
+*Global numbers.*  Rows are dealt into ranges of the order (Spark's
+``repartitionByRange``), sorted inside their range and written out with their
+place there; a row's number is its place plus the rows of all earlier ranges,
+a running sum over one row per range.  The ranges are drawn from a sample, so
+they are fixed by writing: a second read, or a lost executor, meets the same
+ones.  This is the same at every size; no row is collected, and no table but
+the one with a row per range is broadcast.
+
+*Positions within a key.*  Rows per key are counted by partial aggregates.
+Keys of at most ``HOT_ROWS`` rows are numbered by a plain window, whose output
+stays partitioned by the key.  Rows of larger keys, which no single task should
+hold, get global numbers in (key, order), less the number before their key's
+first row.  There are at most (rows / ``HOT_ROWS``) such keys; finding them is
+one job over the key columns, when the function is called.
+
+Rows that tie on all columns of the order stand in any order, as in a window,
+and in one range: give a unique last column if very many rows can tie.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_BUCKET = "_rl_bucket"
-_CARRY = "_rl_carry"
+from ratelens.session import checkpoint_dir
 
-# Rows per bucket aimed at (about what one task numbers comfortably; smaller
-# inputs get one bucket, i.e. a plain window), the most buckets, and the
-# sample drawn per bucket to place the bounds.
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 4096
-SAMPLES_PER_BUCKET = 32
-# A partition key is split only if it appears in at least this many bounds
-# (it then holds several buckets' worth of rows).
-HOT_MIN_BOUNDS = 3
-# Up to this many bounds the bucket is a balanced CASE tree (compiled code);
-# beyond, a binary search whose code size does not grow with the bounds.
-TREE_MAX_BOUNDS = 127
+# Rows of one key that one task numbers comfortably; larger keys are dealt
+# over several tasks.
+HOT_ROWS = 1_000_000
+# The list of such keys is broadcast up to this length, which is checked.
+BROADCAST_KEYS = 500_000
 
+_PLACE, _RANGE, _START, _N = "_rl_place", "_rl_range", "_rl_start", "_rl_n"
+# ``monotonically_increasing_id`` is the partition's number above these bits
+# and the row's place in it below.
+_BITS = 33
 
-def row_number_within(df: DataFrame, partition_cols: Sequence[str],
-                      order_cols: Sequence[Column | str], name: str = "row_number",
-                      n_buckets: int | None = None) -> DataFrame:
-    """``row_number()`` within ``partition_cols`` ordered by ``order_cols``
-    (1-based, ``int``), without putting a hot key in one task."""
-    return _numbered(df, list(partition_cols), list(order_cols), name, n_buckets)
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` once computed, read back from the shared checkpoint folder."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _ascending(order_cols: Sequence[Column | str]) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in order_cols]
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[Column | str],
-                      name: str = "row_number", n_buckets: int | None = None) -> DataFrame:
+                      name: str = "row_number", n_ranges: int | None = None) -> DataFrame:
     """Global 1-based ``row_number()`` over ``order_cols`` as ``long``,
-    computed by many tasks instead of a single-partition window."""
-    out = _numbered(df, [], list(order_cols), name, n_buckets, as_long=True)
-    return out
+    computed by many tasks instead of a single-partition window; ``n_ranges``
+    instead of the session's number of shuffle partitions."""
+    order = _ascending(order_cols)
+    dealt = df.repartitionByRange(n_ranges, *order) if n_ranges else df.repartitionByRange(*order)
+    placed = _written(dealt.sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id()))
+    placed = placed.withColumn(_RANGE, F.shiftright(_PLACE, _BITS))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy(_RANGE).agg(F.count(F.lit(1)).alias(_N))
+              .select(_RANGE, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_START)))
+    place = F.col(_PLACE).bitwiseAND(F.lit((1 << _BITS) - 1))
+    return (placed.join(F.broadcast(starts), _RANGE)   # one row per range
+            .select(*df.columns, (F.col(_START) + place + 1).alias(name)))
+
+
+def row_number_within(df: DataFrame, partition_cols: Sequence[str],
+                      order_cols: Sequence[Column | str], name: str = "row_number",
+                      hot_rows: int | None = None, n_ranges: int | None = None) -> DataFrame:
+    """``row_number()`` within ``partition_cols`` ordered by ``order_cols``
+    (1-based, ``int``), without putting a key of more than ``hot_rows`` rows
+    (default ``HOT_ROWS``) in one task.  NULL keys are a key like any other."""
+    keys = list(partition_cols)
+    if not keys:
+        return global_row_number(df, order_cols, name, n_ranges).withColumn(name, F.col(name).cast("int"))
+    order = _ascending(order_cols)
+    many = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_N))
+            .where(F.col(_N) > (HOT_ROWS if hot_rows is None else hot_rows)))
+    hot = _written(many.select(*[F.col(k).alias(f"_rl_k{i}") for i, k in enumerate(keys)]))
+    window = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    n_hot = hot.count()
+    if not n_hot:
+        return df.withColumn(name, window).select(*df.columns, name)
+
+    def same(other: DataFrame) -> Column:
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond = cond & F.col(k).eqNullSafe(other[f"_rl_k{i}"])
+        return cond
+
+    cold = df.join(hot, same(hot), "left_anti").withColumn(name, window)
+    numbered = global_row_number(df.join(hot, same(hot), "left_semi"), [*keys, *order], name, n_ranges)
+    first = numbered.groupBy(*[F.col(k).alias(f"_rl_k{i}") for i, k in enumerate(keys)]).agg(F.min(name).alias(_START))
+    # a shuffle by key would gather a key's rows again; AQE splits them where the list is too long to send
+    first = F.broadcast(first) if n_hot <= BROADCAST_KEYS else first
+    split = numbered.join(first, same(first)).withColumn(name, (F.col(name) - F.col(_START) + 1).cast("int"))
+    return cold.select(*df.columns, name).unionByName(split.select(*df.columns, name))
 
 
 def with_chunk_id(df: DataFrame, order_cols: Sequence[Column | str], size: int = 50,
@@ -78,245 +114,3 @@ def with_chunk_id(df: DataFrame, order_cols: Sequence[Column | str], size: int =
     return numbered.withColumn(
         name, (F.floor((F.col(rn) - 1) / F.lit(size)) + 1).cast("int")
     ).drop(rn)
-
-
-# --------------------------------------------------------------------------
-
-
-def _numbered(df: DataFrame, part: list[str], order: list[Column | str], name: str,
-              n_buckets: int | None, as_long: bool = False) -> DataFrame:
-    # Buckets are ranges of the partition keys plus the leading order columns
-    # given by name (ascending, NULLs first: Spark's default order).  A
-    # bucket is a function of that prefix, so rows with equal prefixes never
-    # straddle buckets, and the bucket order agrees with the window order.
-    # Sort expressions given as Columns (e.g. ``desc()``) order rows inside
-    # the window only.
-    prefix: list[str] = []
-    for c in order:
-        if not isinstance(c, str) or c in part:
-            break
-        prefix.append(c)
-    keyed = df
-    part_keys = list(part)
-    key_names = part_keys + prefix
-    order_keys = [F.col(c) if isinstance(c, str) else c for c in order]
-    bounds = _sample_bounds(keyed, key_names, n_buckets) if key_names else []
-    if part_keys and bounds:
-        # A key cut by one or two bounds has at most a few buckets of rows and
-        # fits one task; only keys spanning more are split.  Dropping bounds
-        # keeps the bucketing consistent, and with no such key the plan is a
-        # plain window partitioned by the key.
-        n = len(part_keys)
-        seen = Counter(b[:n] for b in bounds)
-        bounds = [b for b in bounds if seen[b[:n]] >= HOT_MIN_BOUNDS]
-    types = {f.name: f.dataType for f in keyed.schema.fields}
-    bucketed = keyed.withColumn(_BUCKET, _bucket_expr(key_names, types, bounds, len(part_keys))) \
-        if bounds else keyed
-
-    if bounds:
-        w = Window.partitionBy(_BUCKET, *part_keys).orderBy(*order_keys)
-    else:
-        # one bucket: a plain window, whose output stays partitioned by the
-        # key, so a later join or aggregation on it needs no new shuffle
-        w = Window.partitionBy(*part_keys).orderBy(*order_keys)
-    local = bucketed.withColumn("_rl_local", F.row_number().over(w))
-
-    carry = _carry_table(bucketed, part_keys, key_names, bounds)
-    out_type = "long" if as_long else "int"
-    if carry is None:
-        numbered = local.withColumn(name, F.col("_rl_local").cast(out_type))
-    else:
-        carry = carry.select(*[F.col(c).alias("_rlc" + c) for c in carry.columns])
-        cond = F.col(_BUCKET) == F.col("_rlc" + _BUCKET)
-        for k in part_keys:  # NULL keys are a key like any other
-            cond = cond & F.col(k).eqNullSafe(F.col("_rlc" + k))
-        numbered = (
-            local.join(F.broadcast(carry), cond, "left")
-            .withColumn(name, (F.col("_rl_local") + F.coalesce(F.col("_rlc" + _CARRY), F.lit(0)))
-                        .cast(out_type))
-        )
-    return numbered.select(*df.columns, name)
-
-
-def _bucket_key(key_names: list[str], types: dict) -> list[str] | None:
-    """SQL expressions of the bucket key; ``None`` if a type is unsupported.
-
-    Timestamps are compared as epoch microseconds (same order), so collected
-    bounds never go through Python time-zone conversion."""
-    out = []
-    for k in key_names:
-        t = types[k]
-        ref = f"`{k.replace('`', '``')}`"
-        if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-            out.append(f"unix_micros(CAST({ref} AS TIMESTAMP))")
-        elif isinstance(t, _LITERAL_TYPES):
-            out.append(ref)
-        else:
-            return None
-    return out
-
-
-def _sample_bounds(keyed: DataFrame, key_names: list[str],
-                   n_buckets: int | None) -> list[tuple]:
-    """Pick ``n_buckets - 1`` ascending bounds over the bucket key.
-
-    Two small actions: a row count and a bounded sample (at most
-    ``4 * SAMPLES_PER_BUCKET * MAX_BUCKETS`` rows of the key columns only)."""
-    types = {f.name: f.dataType for f in keyed.schema.fields}
-    key_sql = _bucket_key(key_names, types)
-    if key_sql is None:
-        return []
-    keys_only = keyed.select(*[F.expr(e).alias(f"_rl_b{i}") for i, e in enumerate(key_sql)])
-    cols = keys_only.columns
-    if n_buckets is None:
-        total = keys_only.count()
-        n_buckets = min(MAX_BUCKETS, max(1, math.ceil(total / ROWS_PER_BUCKET)))
-    else:
-        total = None
-        n_buckets = max(1, min(int(n_buckets), MAX_BUCKETS))
-    if n_buckets == 1:
-        return []
-    if total is None:
-        total = keys_only.count()
-    want = n_buckets * SAMPLES_PER_BUCKET
-    fraction = min(1.0, 2.0 * want / max(total, 1))
-    sample = (keys_only.sample(withReplacement=False, fraction=fraction, seed=17)
-              .orderBy(*cols).limit(4 * want).collect())
-    if len(sample) < 2:
-        return []
-    step = len(sample) / n_buckets
-    bounds: list[tuple] = []
-    for i in range(1, n_buckets):
-        row = tuple(sample[min(len(sample) - 1, int(i * step))])
-        if not bounds or row != bounds[-1]:
-            bounds.append(row)
-    return bounds
-
-
-_LITERAL_TYPES = (T.StringType, T.IntegerType, T.LongType, T.ShortType, T.ByteType,
-                  T.DoubleType, T.FloatType, T.DecimalType, T.DateType, T.BooleanType)
-
-
-def _sql_literal(value, dtype) -> str:
-    """A typed SQL literal for one collected key value."""
-    if value is None:
-        return "NULL"
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return f"{int(value)}L"  # compared as epoch microseconds
-    if isinstance(dtype, T.StringType):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(dtype, T.BooleanType):
-        return "true" if value else "false"
-    if isinstance(dtype, T.DateType):
-        return f"DATE'{value.isoformat()}'"
-    if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return f"CAST({int(value)}L AS {dtype.simpleString()})"
-    return f"CAST('{value!r}' AS {dtype.simpleString()})" if isinstance(
-        dtype, (T.DoubleType, T.FloatType)) else f"CAST('{value}' AS {dtype.simpleString()})"
-
-
-def _bucket_expr(key_names: list[str], types: dict, bounds: list[tuple],
-                 n_part: int = 0) -> Column:
-    """Bucket index in ``[0, len(bounds)]``: bucket i holds keys in
-    ``[bounds[i-1], bounds[i])``.  A balanced tree of ``log2(n)``
-    comparisons, written as one SQL expression (one call to the JVM however
-    many buckets there are)."""
-    if not bounds:
-        return F.lit(0)
-    key_sql = _bucket_key(key_names, types)
-    names = [f"b{i}" for i in range(len(key_names))]
-    key = "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in zip(names, key_sql)) + ")"
-    lits = []
-    for b in bounds:
-        parts = []
-        for n, k, v in zip(names, key_names, b):
-            t = types[k]
-            lit = _sql_literal(v, t)
-            if lit == "NULL":
-                ref_type = "bigint" if isinstance(t, (T.TimestampType, T.TimestampNTZType)) \
-                    else t.simpleString()
-                lit = f"CAST(NULL AS {ref_type})"
-            parts.append(f"'{n}', {lit}")
-        lits.append("named_struct(" + ", ".join(parts) + ")")
-
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi + 1) // 2
-        return f"CASE WHEN {key} < {lits[mid - 1]} THEN {tree(lo, mid - 1)} ELSE {tree(mid, hi)} END"
-
-    if len(bounds) <= TREE_MAX_BOUNDS:
-        full = tree(0, len(bounds))
-    else:
-        # Binary search over one array literal: the code size does not grow
-        # with the number of bounds (a large nested CASE would no longer be
-        # compiled to native code by the JVM).  Result: bounds <= key.
-        steps = max(1, math.ceil(math.log2(len(bounds) + 1)))
-        arr = "array(" + ", ".join(lits) + ")"
-        mid = "CAST((acc.lo + acc.hi) div 2 AS INT)"
-        full = (
-            f"aggregate(sequence(1, {steps}), named_struct('lo', 0, 'hi', {len(bounds)}), "
-            f"(acc, i) -> IF(acc.lo >= acc.hi, acc, "
-            f"IF({key} < element_at({arr}, {mid} + 1), "
-            f"named_struct('lo', acc.lo, 'hi', {mid}), "
-            f"named_struct('lo', {mid} + 1, 'hi', acc.hi))), "
-            f"acc -> acc.lo)"
-        )
-    if n_part == 0:
-        return F.expr(full)
-    # Only a key equal to the key part of some bound can span buckets; every
-    # other key lies inside one bucket whatever its number, so it gets 0 (and
-    # no carry).  A hash-set test on the first partition key keeps the tree
-    # off the rows of ordinary keys: only hot keys (and a few keys cut by a
-    # bound) pay for it.
-    t0 = types[key_names[0]]
-    firsts = sorted({b[0] for b in bounds if b[0] is not None}, key=repr)
-    tests = []
-    if firsts:
-        tests.append(f"{key_sql[0]} IN (" + ", ".join(_sql_literal(v, t0) for v in firsts) + ")")
-    if any(b[0] is None for b in bounds):
-        tests.append(f"{key_sql[0]} IS NULL")
-    return F.expr(f"CASE WHEN {' OR '.join(tests)} THEN {full} ELSE 0 END")
-
-
-def _carry_table(bucketed: DataFrame, part_keys: list[str], key_names: list[str],
-                 bounds: list[tuple]) -> DataFrame | None:
-    """Rows of the same key in earlier buckets, per (bucket, key).
-
-    Only keys equal to the key part of a bound can span buckets, so the
-    input is filtered to those (at most ``len(bounds)`` keys) before a
-    partial aggregation; the result has at most a few rows per bucket."""
-    if not bounds:
-        return None
-    spark = bucketed.sparkSession
-    n = len(part_keys)
-    if n:
-        # bounds hold the bucket-key form of the values (epoch microseconds
-        # for timestamps), so the comparison uses the same expressions
-        types = {f.name: f.dataType for f in bucketed.schema.fields}
-        key_sql = _bucket_key(key_names, types)[:n]
-        span_keys = sorted({b[:n] for b in bounds}, key=repr)
-
-        def key_type(k):
-            t = types[k]
-            return "bigint" if isinstance(t, (T.TimestampType, T.TimestampNTZType)) \
-                else t.simpleString()
-
-        key_df = spark.createDataFrame(
-            [tuple(k) for k in span_keys],
-            schema=", ".join(f"_rls{i} {key_type(k)}" for i, k in enumerate(part_keys)),
-        )
-        cond = None
-        for i, e in enumerate(key_sql):
-            c = F.expr(e).eqNullSafe(F.col(f"_rls{i}"))
-            cond = c if cond is None else cond & c
-        candidates = bucketed.join(F.broadcast(key_df), cond, "left_semi")
-    else:
-        candidates = bucketed
-    counts = candidates.groupBy(_BUCKET, *part_keys).agg(F.count(F.lit(1)).alias("_rl_n"))
-    before = Window.partitionBy(*part_keys).orderBy(_BUCKET).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return counts.select(
-        _BUCKET, *part_keys,
-        F.coalesce(F.sum("_rl_n").over(before), F.lit(0)).alias(_CARRY),
-    )

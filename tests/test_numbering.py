@@ -18,25 +18,28 @@ def _rows(n, hot_share=0.34, seed=1):
     return out
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 11])
-def test_row_number_within_matches_window(spark, buckets):
+@pytest.mark.parametrize("ranges, hot_rows", [(1, 0), (3, 100), (11, 60), (None, 10_000)])
+def test_row_number_within_matches_window(spark, ranges, hot_rows):
     df = spark.createDataFrame(_rows(3000), "k int, o int, u int")
-    got = row_number_within(df, ["k"], ["o", "u"], "rn", n_buckets=buckets)
+    got = row_number_within(df, ["k"], ["o", "u"], "rn", hot_rows=hot_rows, n_ranges=ranges)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "u")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
 def test_hot_key_is_split(spark):
     df = spark.createDataFrame(_rows(4000, hot_share=0.5), "k int, o int, u int")
-    got = row_number_within(df, ["k"], ["o", "u"], "rn", n_buckets=8)
+    got = row_number_within(df, ["k"], ["o", "u"], "rn", hot_rows=500, n_ranges=8)
     # the hot key's rows are numbered 1..n without gaps
     hot = [r.rn for r in got.filter("k = 7").select("rn").collect()]
     assert sorted(hot) == list(range(1, len(hot) + 1))
+    # no task holds more than a part of them
+    largest = got.filter("k = 7").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < len(hot) / 3
 
 
 def test_global_row_number(spark):
     df = spark.createDataFrame(_rows(2000), "k int, o int, u int")
-    got = global_row_number(df, ["o", "u"], "g", n_buckets=6)
+    got = global_row_number(df, ["o", "u"], "g", n_ranges=6)
     assert sorted(r.g for r in got.collect()) == list(range(1, 2001))
     want = df.withColumn("g", F.row_number().over(Window.orderBy("o", "u")).cast("long"))
     assert got.exceptAll(want).count() == 0
@@ -63,11 +66,11 @@ _ord = st.one_of(st.none(), st.integers(-3, 3))
 def test_numbering_equals_window_with_nulls_and_ties(spark, rows, buckets):
     rows = [(k, a, b, i) for i, (k, a, b) in enumerate(rows)]
     df = spark.createDataFrame(rows, "k string, a int, b int, u int")
-    got = row_number_within(df, ["k"], ["a", F.col("b").desc(), "u"], "rn", n_buckets=buckets)
+    got = row_number_within(df, ["k"], ["a", F.col("b").desc(), "u"], "rn", hot_rows=5, n_ranges=buckets)
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("k").orderBy("a", F.col("b").desc(), "u")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    g = global_row_number(df, ["k", "a", "u"], "g", n_buckets=buckets)
+    g = global_row_number(df, ["k", "a", "u"], "g", n_ranges=buckets)
     want_g = df.withColumn("g", F.row_number().over(Window.orderBy("k", "a", "u")).cast("long"))
     assert g.exceptAll(want_g).count() == 0
 
@@ -77,22 +80,30 @@ def test_numbering_timestamp_and_decimal_keys(spark):
     rows = [(dt.datetime(2024, 1, 1 + (i % 3)), i % 7 / 4, f"s'{i % 5}\\\\", i) for i in range(400)]
     df = spark.createDataFrame(rows, "t timestamp_ntz, d double, s string, u int") \
         .withColumn("m", (F.col("u") % 11).cast("decimal(10,2)"))
-    got = row_number_within(df, ["t"], ["m", "s", "d", "u"], "rn", n_buckets=9)
+    got = row_number_within(df, ["t"], ["m", "s", "d", "u"], "rn", hot_rows=100, n_ranges=9)
     want = df.withColumn("rn", F.row_number().over(
         Window.partitionBy("t").orderBy("m", "s", "d", "u")))
     assert got.exceptAll(want).count() == 0
-    g = global_row_number(df, ["t", "s", "u"], "g", n_buckets=7)
+    g = global_row_number(df, ["t", "s", "u"], "g", n_ranges=7)
     want_g = df.withColumn("g", F.row_number().over(Window.orderBy("t", "s", "u")).cast("long"))
     assert g.exceptAll(want_g).count() == 0
 
 
-def test_many_buckets_use_binary_search(spark):
-    # more bounds than the CASE tree takes: the array binary search is used
-    from ratelens.operators import numbering as N
+def test_many_ranges_and_descending_order(spark):
     df = spark.createDataFrame(_rows(6000, hot_share=0.4, seed=3), "k int, o int, u int")
-    assert 299 > N.TREE_MAX_BOUNDS
-    got = row_number_within(df, ["k"], ["o", "u"], "rn", n_buckets=300)
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o", "u")))
+    order = [F.col("o").desc_nulls_last(), "u"]
+    got = row_number_within(df, ["k"], order, "rn", hot_rows=1000, n_ranges=300)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(F.col("o").desc_nulls_last(), "u")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    g = global_row_number(df, ["o", "u"], "g", n_buckets=300)
-    assert sorted(r.g for r in g.select("g").collect()) == list(range(1, 6001))
+    g = global_row_number(df, order, "g", n_ranges=300)
+    want_g = df.withColumn("g", F.row_number().over(Window.orderBy(F.col("o").desc_nulls_last(), "u")).cast("long"))
+    assert g.exceptAll(want_g).count() == 0 and g.count() == 6000
+
+
+def test_several_keys_and_no_rows(spark):
+    df = spark.createDataFrame([(i % 2, None if i % 3 else "x", i) for i in range(300)], "a int, b string, u int")
+    got = row_number_within(df, ["a", "b"], ["u"], "rn", hot_rows=60, n_ranges=4)
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("a", "b").orderBy("u")))
+    assert got.exceptAll(want).count() == 0 and got.schema["rn"].dataType.simpleString() == "int"
+    assert row_number_within(df.limit(0), ["a"], ["u"]).count() == 0
+    assert sorted(r.rn for r in row_number_within(df, [], ["u"], "rn").collect()) == list(range(1, 301))
