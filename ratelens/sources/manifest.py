@@ -55,20 +55,84 @@ def manifest_header(spark: SparkSession, path: str) -> list[str]:
     return _reader(spark).csv(path).columns
 
 
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """CSV records of files that several tasks may read: ``source_file``,
+    ``row_in_file`` (the header is 0) and ``record``, its lines joined.
+
+    Physical lines are read by split.  A line starts a record if an even number
+    of quotes stands before it in its file: the quotes before it in its split,
+    by a running sum, and those of the file's earlier splits, from a table with
+    one row per split.  That parity isn't known inside a split, so record starts
+    are counted for both.  A line with paired quotes of its own is a record; the
+    lines of others are grouped by their record's number (gaps and islands).
+    """
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "\r$", "").alias("line"))
+             .withColumn("quotes", F.regexp_count("line", F.lit('"')))
+             .withColumn("blank", F.btrim("line") == ""))
+    here = Window.partitionBy("source_file", "block").orderBy("id")
+    before = F.coalesce(F.sum("quotes").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
+    so_far = here.rowsBetween(Window.unboundedPreceding, 0)
+    counted = lines.withColumn("odd", before)
+    for parity in (0, 1):  # if the split's start stands outside quotes, or inside
+        starts = (F.col("odd") == parity) & ~F.col("blank")
+        counted = counted.withColumn(f"starts_{parity}", F.sum(starts.cast("long")).over(so_far))
+    splits = counted.groupBy("source_file", "block").agg(
+        F.sum("quotes").alias("quotes"), F.max("starts_0").alias("n_0"), F.max("starts_1").alias("n_1"))
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("begins", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+    own = F.when(F.col("begins") == 0, F.col("n_0")).otherwise(F.col("n_1"))
+    splits = splits.withColumn("n", own).select(
+        "source_file", "block", "begins", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"))
+    placed = (counted.join(splits, ["source_file", "block"])
+              .withColumn("inside", (F.col("begins") + F.col("odd")) % 2 == 1)
+              .where("inside OR NOT blank")
+              .withColumn("row_in_file", F.col("rows_before") + F.when(F.col("begins") == 0, F.col("starts_0"))
+                          .otherwise(F.col("starts_1")) - 1))
+    whole = (F.col("quotes") % 2 == 0) & ~F.col("inside")
+    single = placed.where(whole).select("source_file", "row_in_file", F.col("line").alias("record"))
+    parts = F.array_sort(F.collect_list(F.struct("block", "id", "line")))
+    several = (placed.where(~whole).groupBy("source_file", "row_in_file")
+               .agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("record")))
+    return single.unionByName(several)
+
+
+def _request_id(path: str):
+    """``<file relative to the manifest's folder>:<row number>``."""
+    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+    if glob := re.search(r"[*?\[{]", plain):  # the folder above the first wildcard
+        plain = plain[:glob.start()].rpartition("/")[0]
+    root = F.lit(plain.rstrip("/") + "/")
+    at = F.position(root, F.col("source_file"))
+    name = F.when(at > 0, F.substr("source_file", at + F.length(root))).otherwise(
+        F.element_at(F.split("source_file", "/"), -1))
+    return F.concat(name, F.lit(":"), F.col("row_in_file").cast("string")).alias("request_id")
+
+
 def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None,
-                      multi_line: bool = True) -> DataFrame:
+                      multi_line: bool | str = True) -> DataFrame:
     """All fields as strings ``_c0..``, ``_corrupt``, ``source_file``,
     ``row_in_file``, ``request_id``.
 
-    ``multi_line=True`` (the default) allows line breaks inside quoted
-    fields; such a file is read whole by one task.  With ``multi_line=False``
-    (no line breaks inside fields) Spark splits large files across tasks."""
+    ``multi_line=True`` (the default) allows line breaks inside quoted fields;
+    large files are read by several tasks.  Quotes then must be CSV's: around a
+    field, or doubled inside one.  ``"whole"`` reads a file by one task, as
+    Spark's reader does, and takes a lone quote inside a plain field as a
+    character.  ``False`` is for files without line breaks inside fields."""
     width = width or manifest_width(spark, path)
     schema = T.StructType(
         [T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)]
         + [T.StructField(CORRUPT, T.StringType(), True)]
     )
-    raw = (_reader(spark, multi_line).schema(schema).option("enforceSchema", True)
+    if multi_line is True:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "escape": '"', "quote": '"',
+                   "multiLine": "true"}
+        columns = ", ".join(f"{f.name} string" for f in schema.fields)
+        rows = (_records(spark, path).where("row_in_file > 0")  # the header
+                .withColumn("_rl_fields", F.from_csv("record", columns, options)))
+        return rows.select("_rl_fields.*", "source_file", "row_in_file", _request_id(path))
+    raw = (_reader(spark, bool(multi_line)).schema(schema).option("enforceSchema", True)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .csv(path))
     # Rows of one file split (the whole file when multi-line) are read in
@@ -87,16 +151,7 @@ def read_manifest_raw(spark: SparkSession, path: str, width: int | None = None,
     numbered = raw.join(splits, ["source_file", "_rl_block"]).withColumn(
         "row_in_file",
         (F.col("_rl_before") + F.col("_rl_id") - F.col("_rl_first") + 1).cast("long"))
-    plain = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
-    if glob := re.search(r"[*?\[{]", plain):  # the folder above the first wildcard
-        plain = plain[:glob.start()].rpartition("/")[0]
-    root = F.lit(plain.rstrip("/") + "/")
-    at = F.position(root, F.col("source_file"))
-    name = F.when(at > 0, F.substr("source_file", at + F.length(root))).otherwise(
-        F.element_at(F.split("source_file", "/"), -1))
-    return numbered.withColumn(
-        "request_id", F.concat(name, F.lit(":"), F.col("row_in_file").cast("string"))
-    ).drop("_rl_id", "_rl_first", "_rl_block", "_rl_before")
+    return numbered.withColumn("request_id", _request_id(path)).drop("_rl_id", "_rl_first", "_rl_block", "_rl_before")
 
 
 def _malformed():
@@ -112,7 +167,7 @@ def _malformed():
 
 
 def read_manifest(spark: SparkSession, path: str, width: int | None = None,
-                  multi_line: bool = True) -> DataFrame:
+                  multi_line: bool | str = True) -> DataFrame:
     """Requests with named columns, raw strings kept, typed prices added.
 
     Columns: ``request_id, source_file, row_in_file, hotel_id, hotel, city,
@@ -140,7 +195,7 @@ def sample_manifest(requests: DataFrame, n: int = 14) -> DataFrame:
 
 
 def reattempt_manifest(spark: SparkSession, path: str, reattempt: DataFrame,
-                       width: int | None = None, multi_line: bool = True) -> DataFrame:
+                       width: int | None = None, multi_line: bool | str = True) -> DataFrame:
     """The original manifest rows (all fields, header names) of the requests
     to try again, so that the next run can read them as its manifest.
     Malformed rows cannot be fed back and stay only in the re-attempt output."""
