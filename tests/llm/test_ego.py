@@ -8,7 +8,8 @@ def brute(rows, cosine=0.95):
     good = []
     for i, v in rows:
         ok = i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
-        good.append(np.array(v, float) / np.linalg.norm(np.array(v, float)) if ok else None)
+        x = np.array(v, float) / np.abs(v).max() if ok else None
+        good.append(x / np.linalg.norm(x) if ok else None)
     n = len(rows)
     parent = list(range(n))
 
@@ -77,10 +78,23 @@ def test_edges(spark):
     base = rng.normal(size=(5, 4))
     rows = [(i, (base[i % 5] * (1 + i) + 0.15 * rng.normal(size=4)).tolist()) for i in range(40)]
     rows += [(100, None), (101, []), (102, [0.0] * 4), (103, [1.0, None, 0.0, 0.0]), (104, [float("nan")] * 4),
-             (105, [float("inf"), 1.0, 1.0, 1.0]), (106, [1.0, 2.0]), (110, [0.0, 1.0, 0.0, 0.0]),
+             (105, [float("inf"), 1.0, 1.0, 1.0]), (106, [1.0, 2.0]), (107, [2.0, 4.1]), (108, [1.0]), (109, [-3.0]),
+             (120, [1e-200, 0.0, 0.0, 0.0]), (121, [1e200, 1e190, 0.0, 1e200]), (122, [1.0, 0.0, 0.0, 1.0]),
+             (123, [5e-324, 0.0, 0.0, 0.0]), (124, [1e308, 0.0, 1e308, 0.0]), (110, [0.0, 1.0, 0.0, 0.0]),
              (111, [-0.0, 1.0, 0.0, -0.0]), (112, [0.0, 5.0, 0.0, 0.0]), (112, [0.0, 5.0, 0.0, 0.0]), (None, [1.0] * 4)]
     rows += [(200 + i, base[0].tolist()) for i in range(20)]
     df = spark.createDataFrame([(i, v, "x", 3) for i, v in rows], "vec_id bigint, embedding array<double>, low string, n int")
     assert result(ego.near_duplicates(df)) == brute(rows)
     assert ego.near_duplicates(df.limit(0)).collect() == []
     assert [tuple(r) for r in ego.near_duplicates(df.where("vec_id = 100")).collect()] == [(100, 0, 100, True)]
+
+
+def test_blocks_of_intervals_meet_each_other_once(spark, monkeypatch):
+    monkeypatch.setattr(ego, "INTERVAL", 16)
+    monkeypatch.setattr(ego, "BLOCK", 3)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(500, 6))
+    x[100:400] = x[rng.integers(0, 20, 300)] + 0.1 * rng.normal(size=(300, 6))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(600 + i, v[:5].tolist()) for i, v in enumerate(x[:60])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert result(ego.near_duplicates(df)) == brute(rows)
