@@ -6,6 +6,7 @@ All of them are compositions of built-in expressions (``translate``,
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -95,12 +96,14 @@ def transliterate(col: ColumnOrName) -> Column:
     """
     src, dst, multi = latin_table()
     c = _col(col)
-    out = F.translate(c, src, dst)
-    expanded = out
-    for ch, ascii_form in multi:
-        expanded = F.replace(expanded, F.lit(ch), F.lit(ascii_form))
+    # characters that become several are cut out and looked up, each once; the
+    # text between them is translated as it is
     letters = "".join(ch for ch, _ in multi)
-    out = F.when(c.rlike(f"[{letters}]"), expanded).otherwise(out)
+    spelled = F.from_json(F.lit(json.dumps(dict(multi))), "map<string,string>")
+    pieces = F.regexp_extract_all(c, F.lit(f"[{letters}]|[^{letters}]++"), F.lit(0))
+    expanded = F.array_join(F.transform(pieces, lambda p: F.coalesce(
+        F.when(F.length(p) == 1, F.try_element_at(spelled, p)), F.translate(p, src, dst))), "")
+    out = F.when(c.rlike(f"[{letters}]"), expanded).otherwise(F.translate(c, src, dst))
     # Pure-ASCII text (most names) is returned as it is after one scan.
     return F.when(c.rlike("[^\\x00-\\x7F]"), out).otherwise(c)
 
@@ -146,5 +149,37 @@ def stay_date(col: ColumnOrName) -> Column:
     return F.coalesce(*[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
 
 
+# English month and weekday names by their first three letters.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+WEEKDAYS = ("sun", "mon", "tue", "wed", "thu", "fri", "sat")
+
+
+def display_date(col: ColumnOrName, near: ColumnOrName) -> Column:
+    """Date of a display text, which may leave out the year.
+
+    A text with a year is read as :func:`stay_date` reads it.  Otherwise the
+    day is the one nearest to the date ``near`` (the earlier of two equally
+    near); a weekday in the text must be that day's, so ``Wed, May 1`` near
+    2023-11-20 is 2024-05-01, and 29 February stands in leap years only.  NULL
+    if unreadable, or if no year within four of ``near`` fits."""
+    text, about = F.lower(F.trim(_col(col))), _col(near)
+    shape = r"^(?:([a-z]{3})[a-z]*\.?,?\s+)??(?:([a-z]{3})[a-z]*\.?\s+([0-9]{1,2})|([0-9]{1,2})\.?\s+([a-z]{3})[a-z]*\.?)$"
+    month_name = F.concat(F.regexp_extract(text, shape, 2), F.regexp_extract(text, shape, 5))
+    day = F.concat(F.regexp_extract(text, shape, 3), F.regexp_extract(text, shape, 4))
+    weekday = F.array_position(F.array(*[F.lit(d) for d in WEEKDAYS]), F.regexp_extract(text, shape, 1))
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), month_name)
+
+    def in_year(years: int) -> Column:
+        written = F.concat_ws("-", (F.year(about) + years).cast("string"), F.lpad(month.cast("string"), 2, "0"),
+                              F.lpad(day, 2, "0"))
+        found = written.try_cast("date")
+        fits = (weekday == 0) | (F.dayofweek(found) == weekday)
+        return F.when(fits, F.struct(F.abs(F.datediff(found, about)).alias("away"), found.alias("date")))
+
+    known = (F.regexp_extract(text, shape, 1) == "") | (weekday > 0)
+    nearest = F.array_min(F.filter(F.array(*[in_year(y) for y in range(-4, 5)]), lambda x: x["date"].isNotNull()))
+    return F.coalesce(stay_date(_col(col)), F.when(text.rlike(shape) & known & (month > 0), nearest["date"]))
+
+
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -174,6 +174,17 @@ SELECT page_id,
   regexp_extract_all(url, '[?&]page=([0-9]+)', 1)[1] IS NOT NULL AS from_page
 FROM pages""",
 
+    # the shown day is known before it is written as text
+    "searched_stay": """
+WITH d AS (
+  SELECT o_orderkey, CAST(o_orderdate AS DATE) AS check_in,
+    CAST(o_orderdate AS DATE) + CAST((o_custkey % 5 - 2) * 40 AS INTEGER) AS day FROM orders)
+SELECT o_orderkey, check_in,
+  CASE o_orderkey % 3 WHEN 0 THEN strftime(day, '%a, %b %-d') WHEN 1 THEN strftime(day, '%-d %B')
+    ELSE strftime(day, '%A, %B %-d, %Y') END AS shown,
+  CAST(day AS DATE) AS searched, day = check_in AS as_requested
+FROM d""",
+
     "drop_blanks": """
 SELECT page_id, CAST(i AS INTEGER) AS i, a[i] AS l
 FROM (SELECT page_id, list_filter(regexp_extract_all(html, '>([^<]*)<', 1), lambda v: v <> '') AS a

@@ -23,10 +23,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelens.functions.text import clean_price, price_decimal, transliterate
+from ratelens.functions.text import clean_price, display_date, price_decimal, stay_date, transliterate
 from ratelens.operators.extract import NativeLayout, ParsedLayout, extract_native
 from ratelens.operators.fields import extract_elements
 from ratelens.operators.offers import request_rows
@@ -101,8 +101,9 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
     (only the requests that have a capture when ``captured_only``).
 
     ``require_dates``: a page without a ``div`` whose ``aria-label`` is the
-    requested check-in date, and one for the check-out date, is broken, reason
-    ``dates_not_found``.  Only parser rules read these labels."""
+    requested check-in date, as text or as a date, and one for the check-out
+    date, is broken, reason ``dates_not_found``.  Only ``ParsedLayout`` rules
+    read these labels."""
     extra = [F.col(c) if c in requests.columns else F.lit(None).cast("string").alias(c)
              for c in extra_cols]
     malformed = "malformed" if "malformed" in requests.columns else F.lit(False).alias("malformed")
@@ -114,12 +115,15 @@ def classify_requests(requests: DataFrame, captures: DataFrame,
     if require_dates:
         if "labels" not in captures.schema["page"].dataType.names:
             raise ValueError("require_dates needs parser rules (ParsedLayout)")
-        # the page's div aria-labels were collected by the parser, so the
-        # test needs only the narrow extracted row, never the markup
-        no_dates = F.coalesce(
-            F.col("page").isNotNull() & ~(F.array_contains("page.labels", F.col("check_in"))
-                                          & F.array_contains("page.labels", F.col("check_out"))),
-            F.lit(False))
+        # the page's div aria-labels were collected with the page, so the test
+        # needs only the narrow extracted row, never the markup; a label counts
+        # if it says the requested date in other words
+        def shown(requested: str) -> Column:
+            day = stay_date(requested)
+            return F.array_contains("page.labels", F.col(requested)) | F.exists(
+                "page.labels", lambda label: F.coalesce(display_date(label, day) == day, F.lit(False)))
+
+        no_dates = F.coalesce(F.col("page").isNotNull() & ~(shown("check_in") & shown("check_out")), F.lit(False))
     fixed_reason = (
         F.when(F.col("malformed"), F.lit("malformed_row"))
         .when(F.col("_has").isNull(), F.lit("no_capture"))

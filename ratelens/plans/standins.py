@@ -19,6 +19,7 @@ from ratelens.functions.arrays import distinct_values, drop_blanks, nth
 from ratelens.functions.html import attr_present, extract_all, extract_first, region, visible_text
 from ratelens.functions.text import (
     clean_price,
+    display_date,
     fold_newlines,
     price_decimal,
     search_key,
@@ -193,6 +194,21 @@ def q_searched_dates(spark, sf_dir):
     )
 
 
+def q_searched_stay(spark, sf_dir):
+    """Searched dates shown without a year, as dates near the requested stay, and
+    whether they are the requested ones (E10, F4).  The order date is requested;
+    the shown text is the date some weeks around it, in three spellings."""
+    shift = (F.col("o_custkey") % 5 - 2) * 40
+    shown = F.date_add(F.col("o_orderdate").cast("date"), shift.cast("int"))
+    text = (F.when(F.col("o_orderkey") % 3 == 0, F.date_format(shown, "EEE, MMM d"))
+            .when(F.col("o_orderkey") % 3 == 1, F.date_format(shown, "d MMMM"))
+            .otherwise(F.date_format(shown, "EEEE, MMMM d, yyyy")))
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("check_in"), text.alias("shown"))
+    found = display_date("shown", "check_in")
+    return orders.withColumn("searched", found).withColumn("as_requested", F.col("searched") == F.col("check_in"))
+
+
 def q_drop_blanks(spark, sf_dir):
     """All text nodes, blanks removed, order kept."""
     pages = _page_table(spark, sf_dir)
@@ -477,6 +493,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layout_fallback": q_layout_fallback,
     "attr_match": q_attr_match,
     "searched_dates": q_searched_dates,
+    "searched_stay": q_searched_stay,
     "drop_blanks": q_drop_blanks,
     "newline_fold": q_newline_fold,
     "transliterate": q_transliterate,

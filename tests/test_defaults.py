@@ -98,9 +98,11 @@ def test_scope_over_lines_and_blank_entries(spark):
 
 def test_dates_need_parser_rules_and_both_labels(spark):
     page = container(seller("A") + price("$1"), extra='<div aria-label="May 1, 2024">1</div>%s')
-    pages = {"one": page % "", "both": page % '<div aria-label="May 3, 2024">3</div>'}
+    pages = {"one": page % "", "both": page % '<div aria-label="May 3, 2024">3</div>',
+             "words": page % '<div aria-label="Friday, May 3">3</div>', "other_day": page % '<div aria-label="Thu, May 3">3</div>'}
     out = run_rate_shop(requests(spark, pages), captures(spark, pages), DEFAULT_LAYOUTS, "2024-05-01", require_dates=True)
-    assert {r.request_id: r.reason for r in out.outcomes.collect()} == {"one": "dates_not_found", "both": None}
+    assert {r.request_id: r.reason for r in out.outcomes.collect()} == {
+        "one": "dates_not_found", "both": None, "words": None, "other_day": "dates_not_found"}
     native = [NativeLayout(layout=1, names="(a)", prices="(b)")]
     for option in ({"require_dates": True}, {"extra_prices": True}):
         with pytest.raises(ValueError):

@@ -55,3 +55,23 @@ def test_stay_date(spark):
     df = spark.createDataFrame([(v,) for v in vals], "v string")
     got = [str(r.d) if r.d else None for r in df.select(stay_date("v").alias("d")).collect()]
     assert got == ["2024-05-01"] * 6 + [None, None]
+
+
+def test_display_dates_without_a_year(spark):
+    import datetime as dt
+
+    from ratelens.functions.text import display_date
+    near = dt.date(2024, 5, 3)
+    cases = {
+        "Wed, May 1": (near, dt.date(2024, 5, 1)), "May 1": (near, dt.date(2024, 5, 1)), "1 May": (near, dt.date(2024, 5, 1)),
+        "Wednesday, May 1": (near, dt.date(2024, 5, 1)), "Wed 1. May": (near, dt.date(2024, 5, 1)),
+        "Dec 30": (dt.date(2024, 1, 2), dt.date(2023, 12, 30)), "Jan 2": (dt.date(2023, 12, 30), dt.date(2024, 1, 2)),
+        "Thu, May 1": (near, dt.date(2025, 5, 1)), "Tue, May 1": (near, None),  # no such Tuesday within four years
+        "Feb 29": (dt.date(2023, 3, 1), dt.date(2024, 2, 29)), "Feb 30": (near, None), "Foo 3": (near, None),
+        "Xyz, May 1": (near, None), "May": (near, None), "": (near, None), None: (near, None),
+        "May 1, 2022": (near, dt.date(2022, 5, 1)), "2021-01-31": (near, dt.date(2021, 1, 31)), "sept 9": (near, dt.date(2024, 9, 9)),
+        "Fri, May 3": (None, None),
+    }
+    df = spark.createDataFrame([(t, n, w) for t, (n, w) in cases.items()], "t string, near date, want date")
+    for r in df.withColumn("got", display_date("t", "near")).collect():
+        assert r.got == r.want, r
