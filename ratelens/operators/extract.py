@@ -82,7 +82,10 @@ def _any(tests: Sequence[Test]) -> Column:
     return out
 
 
-def _layout_struct(rules: NativeLayout, html: Column) -> Column:
+FIELDS = ("layout", "names", "prices", "not_available", "contact", "is_listing", "searched_in", "searched_out")
+
+
+def _layout_fields(rules: NativeLayout, html: Column) -> dict[str, Column]:
     body = html
     if rules.scope is not None:
         start, end = rules.scope
@@ -100,30 +103,31 @@ def _layout_struct(rules: NativeLayout, html: Column) -> Column:
             return F.lit(None).cast("string")
         return extract_first(html, pattern)
 
-    return F.struct(
-        F.lit(rules.layout).alias("layout"),
-        names.alias("names"),
-        prices.alias("prices"),
-        _any(rules.not_available).alias("not_available"),
-        _any(rules.contact).alias("contact"),
-        _any(rules.listing).alias("is_listing"),
-        first(rules.searched_in).alias("searched_in"),
-        first(rules.searched_out).alias("searched_out"),
-    )
+    return dict(zip(FIELDS, (F.lit(rules.layout), names, prices, _any(rules.not_available), _any(rules.contact),
+                             _any(rules.listing), first(rules.searched_in), first(rules.searched_out))))
+
+
+def native_fields(layouts: Sequence[NativeLayout], html_col: str = "html") -> dict[str, Column]:
+    """The fields of the ``page`` struct as separate columns, NULL when no layout
+    is present or html is NULL.  Select only those needed: Spark doesn't prune
+    the fields of a struct that a condition yields."""
+    html = F.col(html_col)
+    out: dict[str, Column] = {}
+    for rules in sorted(layouts, key=lambda r: r.layout):
+        here = html.isNotNull() & _any(rules.present) if rules.present else html.isNotNull()
+        for name, value in _layout_fields(rules, html).items():
+            out[name] = out[name].when(here, value) if name in out else F.when(here, value)
+    return out
 
 
 def extract_native(df: DataFrame, layouts: Sequence[NativeLayout], html_col: str = "html",
                    out: str = "page") -> DataFrame:
     """Add the ``page`` struct; NULL when no layout is present or html is NULL."""
-    html = F.col(html_col)
-    choice = None
-    for rules in sorted(layouts, key=lambda r: r.layout):
-        present = _any(rules.present) if rules.present else F.lit(True)
-        cand = F.when(html.isNotNull() & present, _layout_struct(rules, html))
-        choice = cand if choice is None else F.coalesce(choice, cand)
-    if choice is None:
-        choice = F.lit(None).cast(PAGE_TYPE)
-    return df.withColumn(out, choice)
+    fields = native_fields(layouts, html_col)
+    if not fields:
+        return df.withColumn(out, F.lit(None).cast(PAGE_TYPE))
+    page = F.struct(*[value.alias(name) for name, value in fields.items()])
+    return df.withColumn(out, F.when(fields["layout"].isNotNull(), page))
 
 
 @dataclass(frozen=True)

@@ -25,7 +25,7 @@ from ratelens.functions.text import (
     search_key,
     transliterate,
 )
-from ratelens.operators.extract import NativeLayout, ParsedLayout, Test, extract_native
+from ratelens.operators.extract import NativeLayout, ParsedLayout, Test, extract_native, native_fields
 from ratelens.operators.fields import block_fields, place_flags, rule_winners, scoped_texts
 from ratelens.operators.joins import requests_without, with_offers
 from ratelens.operators.numbering import row_number_within, with_chunk_id
@@ -97,6 +97,12 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_native(_page_table(spark, sf_dir), [STANDIN_LAYOUT])
 
 
+def _page_fields(spark: SparkSession, sf_dir: str, *names: str, layouts=(STANDIN_LAYOUT,)) -> DataFrame:
+    """Some fields of the pages only: the others are not extracted."""
+    fields = native_fields(layouts)
+    return _page_table(spark, sf_dir).select("page_id", *[fields[n].alias(n) for n in names])
+
+
 def _classified_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_pages(spark, sf_dir))
 
@@ -111,8 +117,8 @@ def q_offers(spark, sf_dir):
 
 def q_page_names(spark, sf_dir):
     """Every extracted seller with its 1-based position."""
-    return _pages(spark, sf_dir).select(
-        "page_id", F.posexplode("page.names").alias("pos", "name")
+    return _page_fields(spark, sf_dir, "names").select(
+        "page_id", F.posexplode("names").alias("pos", "name")
     ).select("page_id", (F.col("pos") + 1).cast("int").alias("pos"), "name")
 
 
@@ -123,17 +129,18 @@ def q_page_outcome(spark, sf_dir):
 
 def q_list_sizes(spark, sf_dir):
     """Seller and price list lengths per page (A2)."""
-    return list_sizes(_pages(spark, sf_dir), ["page_id"])
+    pages = _page_fields(spark, sf_dir, "names", "prices")
+    return list_sizes(pages.withColumn("page", F.struct("names", "prices")), ["page_id"])
 
 
 def q_distinct_names(spark, sf_dir):
     """Number of sellers and of distinct sellers per page (E5)."""
-    p = _pages(spark, sf_dir)
-    found = F.col("page").isNotNull()
+    p = _page_fields(spark, sf_dir, "names")
+    found = F.col("names").isNotNull()
     return p.select(
         "page_id",
-        F.when(found, F.size("page.names")).cast("int").alias("n_names"),
-        F.when(found, F.size(distinct_values("page.names"))).cast("int").alias("n_distinct"),
+        F.when(found, F.size("names")).cast("int").alias("n_names"),
+        F.when(found, F.size(distinct_values("names"))).cast("int").alias("n_distinct"),
     )
 
 
@@ -153,22 +160,18 @@ def q_nth_section(spark, sf_dir):
 
 def q_page_layout(spark, sf_dir):
     """Boolean layout tests per page."""
-    return _pages(spark, sf_dir).select(
-        "page_id",
-        F.col("page.is_listing").alias("is_listing"),
-        F.col("page.contact").alias("contact"),
-        F.col("page.not_available").alias("not_available"),
-    )
+    fields = native_fields([STANDIN_LAYOUT])
+    return _page_table(spark, sf_dir).select(
+        "page_id", *[fields[n].alias(n) for n in ("is_listing", "contact", "not_available")])
 
 
 def q_layout_fallback(spark, sf_dir):
     """First layout present supplies the lists."""
-    pages = extract_native(_page_table(spark, sf_dir), FALLBACK_LAYOUTS)
+    pages = _page_fields(spark, sf_dir, "layout", "prices", layouts=FALLBACK_LAYOUTS)
     return pages.select(
-        "page_id",
-        F.col("page.layout").alias("layout"),
-        F.when(F.col("page").isNotNull(), F.size("page.prices")).cast("int").alias("n_prices"),
-        F.get(F.col("page.prices"), 0).alias("first_price"),
+        "page_id", "layout",
+        F.when(F.col("layout").isNotNull(), F.size("prices")).cast("int").alias("n_prices"),
+        F.get("prices", F.lit(0)).alias("first_price"),
     )
 
 
