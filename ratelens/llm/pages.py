@@ -8,7 +8,8 @@ both pages' lines is what the site repeats from page to page, and these lines
 are deleted.  Two things bound the deletion: lines inside an element that
 marks the article are content even where two pages share a paragraph, and a
 page all of whose other lines are shared is a copy of its neighbour and keeps
-them.  Lines in chrome zones go in any case.
+them.  Lines in chrome zones go in any case; a region that its class name or a
+form rules out still gives way to an article that begins in it.
 
 Only hashes of lines travel for pairing and alignment; a host with a third of
 all pages is sorted by ranges like any other.
@@ -19,9 +20,11 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,8 +52,17 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "bann
          "overlay", "share", "sharing", "social", "related", "recommended", "recommendations", "comment",
          "comments", "disqus", "respond", "replies", "pagination", "pager", "skip", "toolbar", "copyright",
          "disclaimer", "legal", "paywall"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|"
-                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: Class tokens that begin with one of these say what a page has, not what an element is.
+STATES = {"has", "no", "with", "without", "is", "not"}
+#: Words beside a mark in a class token; with others (``share-price``) it names a topic, inside an article.
+NEUTRAL = {"area", "bar", "block", "bottom", "box", "btn", "button", "buttons", "container", "content", "form", "icon",
+           "icons", "inner", "item", "items", "left", "link", "links", "list", "main", "module", "page", "panel", "right",
+           "section", "site", "slot", "text", "title", "top", "unit", "wrap", "wrapper"}
+#: Marks of regions whose own articles are not the page's.
+OTHERS = {"comment", "comments", "disqus", "replies", "respond", "related", "recommended", "recommendations", "sidebar",
+          "rail", "widget", "widgets"}
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|"
+                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=(?:\s*\"[^\"]*\"|\s*'[^']*')?)*)(?:>|\Z)", re.S)
 #: a tag with a quote that never ends
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -63,13 +75,32 @@ IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript"
 #: Start tags that end an open element of these names.
 CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-ARTICLE, PLAIN, OFF = 2, 1, 0
+#: Zones of a page.  SOFT is off as well, but an article may begin in it; WRAPPED
+#: is the inside of a form, which may be around the whole page.
+ARTICLE, PLAIN, OFF, SOFT, WRAPPED = 2, 1, 0, 3, 4
+#: Pairs of equal lines up to which two pages are aligned at once.
+MATCHES = 200_000
 #: Deleted lines are broadcast up to this many (4 bytes each).
 BROADCAST_LINES = 2_000_000
 
 
+def _marks(names: str, in_article: bool) -> set[str]:
+    """The words of class and id tokens that mark what isn't the article."""
+    out: set[str] = set()
+    for token in names.split():
+        words = [w.lower() for w in _WORD.findall(token)]
+        marks = MARKS.intersection(words)
+        if not in_article and "header" in words:
+            marks.add("header")
+        if words and words[0] not in STATES and (not in_article or all(w in marks or w in NEUTRAL for w in words)):
+            out |= marks
+    return out
+
+
 def _zone(name: str, attrs: str, in_article: bool) -> int | None:
     """The zone an element opens, or None to go on in the one above."""
+    if name == "form":
+        return OFF if in_article else WRAPPED
     if name in CHROME or name == "header" and not in_article:
         return OFF
     role = ""
@@ -81,10 +112,13 @@ def _zone(name: str, attrs: str, in_article: bool) -> int | None:
         role = found.get("role", "").lower()
         if role in ROLES:
             return OFF
-        if name not in ("html", "body") and name not in CONTENT:
-            words = {w.lower() for key in ("class", "id") for w in _WORD.findall(found.get(key, ""))}
-            if words & MARKS or "header" in words and not in_article:
-                return OFF
+        if name not in ("html", "body"):
+            marks = _marks(f"{found.get('class', '')} {found.get('id', '')}", in_article)
+            if name in CONTENT:
+                if marks & OTHERS:
+                    return OFF
+            elif marks:
+                return OFF if in_article or marks & OTHERS else SOFT
     return ARTICLE if name in CONTENT or role in ("main", "article") else None
 
 
@@ -178,11 +212,12 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         if name in VOID:
             continue
         own = _zone(name, attrs, zone == ARTICLE)
-        if own is not None and zone != OFF and own != zone:
+        # in a region that only its class name rules out an article may begin, but nothing else
+        if own is None or own == zone or zone == OFF or zone == SOFT and own not in (ARTICLE, OFF):
+            inner = zone
+        else:
             flush()
             inner = own
-        else:
-            inner = zone
         if attrs.endswith("/") and name in ("svg", "path", "use", "g", "circle", "rect"):
             continue
         quiet = silent or name in SILENT
@@ -194,11 +229,37 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         opened[name] = opened.get(name, 0) + 1
         zone, silent = inner, quiet
     flush()
-    return out
+    # a form that holds most of a page without an article is the page
+    sizes = {z: sum(len(t) for t, y in out if y == z) for z in (PLAIN, ARTICLE, WRAPPED)}
+    rest = PLAIN if not sizes[ARTICLE] and sizes[WRAPPED] > sizes[PLAIN] else OFF
+    return [(t, rest if z == WRAPPED else OFF if z == SOFT else z) for t, z in out]
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of a longest common subsequence of ``a`` with every start of ``b``,
+    64 lines of ``b`` a machine step."""
+    at: dict[int, int] = {}
+    for j, y in enumerate(b):
+        at[y] = at.get(y, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a:
+        hit = row & at.get(x, 0)
+        row = (row + hit | row - hit) & full
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(len(b) // 8 + 1, "little"), np.uint8), bitorder="little")[:len(b)]
+    return np.concatenate(([0], np.cumsum(bits == 0)))
 
 
 def common_lines(a: list[int], b: list[int]) -> set[int]:
-    """Positions in ``a`` of a longest common subsequence of both."""
+    """Positions in ``a`` of a longest common subsequence of both.  Pages with
+    many equal lines are halved where the halves' subsequences are longest
+    together, so repeated lines cost no more than (lines x lines / 64)."""
+    uses = Counter(b)
+    if len(a) > 1 and sum(uses[x] for x in a) > MATCHES:
+        m = len(a) // 2
+        head, tail = _lengths(a[:m], b), _lengths(a[m:][::-1], b[::-1])
+        cut = int(np.argmax(head + tail[::-1]))
+        return common_lines(a[:m], b[:cut]) | {m + i for i in common_lines(a[m:], b[cut:])}
     lo = 0
     while lo < len(a) and lo < len(b) and a[lo] == b[lo]:
         lo += 1
@@ -267,7 +328,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = set(drops or ())
             texts.append("\n".join(t for i, (t, z) in enumerate(lines_of(page.as_py())) if z != OFF and i not in gone))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                                         names=["page", "url", "text"])
+                                         names=["id", "url", "text"])
 
 
 def nearest_pages(pages: DataFrame, n: int) -> DataFrame:
@@ -307,15 +368,18 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 
     NULL and empty markup gives an empty text; a NULL url belongs to a host
     without name; a page without a neighbour on its host is judged by its
-    zones alone.  Page ids should be unique: rows that repeat an id share what
-    was found for it, and rows with a NULL id are judged by zones alone.  An
-    empty table gives an empty result; other columns are not read.
+    zones alone, as are rows with a NULL id.  Rows that repeat an id are pages
+    of their own unless url and markup are equal too.  An empty table gives an
+    empty result; other columns are not read.
     """
     spark = pages.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    rows = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"),
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html"))
-    kind = rows.schema["page"].dataType.simpleString()
+    # a page is known by its id, url and markup
+    rows = rows.withColumn("page", F.when(F.col("id").isNotNull(), F.concat_ws(
+        ":", F.lpad(F.col("id").cast("string"), 20, "0"), F.hex(F.xxhash64("url", "html")))))
+    kind, id_kind = "string", rows.schema["id"].dataType.simpleString()
     known = rows.where("page IS NOT NULL")
     hashes = cut_lineage(in_workers(known.select("page", "html")).mapInArrow(
         _line_hashes, f"page {kind}, hashes array<bigint>, zones array<tinyint>")).dropDuplicates(["page"])
@@ -328,7 +392,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     if size <= BROADCAST_LINES:      # then the markup needn't be moved
         drops = F.broadcast(drops)
     joined = (rows.join(drops.withColumnRenamed("page", "p"), F.col("page") == F.col("p"), "left")
-              .select("page", "url", "html", "drops"))
-    texts = in_workers(joined).mapInArrow(_texts, f"page {kind}, url string, text string")
-    return texts.select(F.col("page").alias(id_col), F.col("url").alias(url_col), F.col("text").alias(text_col),
+              .select("id", "url", "html", "drops"))
+    texts = in_workers(joined).mapInArrow(_texts, f"id {id_kind}, url string, text string")
+    return texts.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.col("text").alias(text_col),
                         F.length("text").cast("long").alias(length_col))

@@ -1,4 +1,7 @@
 import re
+import time
+
+import pytest
 
 from ratelens.llm import pages
 
@@ -21,8 +24,10 @@ def test_whole_table_against_its_articles(spark):
         assert got[r.page_id].url == r.url and got[r.page_id].n_chars == len(plain(r.html))
 
 
-def test_common_lines_against_dynamic_programming():
+@pytest.mark.parametrize("matches", [200_000, 3])
+def test_common_lines_against_dynamic_programming(monkeypatch, matches):
     import random
+    monkeypatch.setattr(pages, "MATCHES", matches)
     rng = random.Random(1)
     for _ in range(200):
         a = [rng.randrange(4) for _ in range(rng.randrange(12))]
@@ -86,3 +91,46 @@ def test_omitted_tags_of_head_body_and_html():
         assert text(start + body) == text(start + body + "</body></html>") == ["one", "two"], start
     assert text("<head><title>T</title>bare text<p>next") == ["bare text", "next"]
     assert text("<head><title>T</title><b>bold</b> text") == ["bold text"]
+
+
+def kept(page):
+    return [t for t, z in pages.lines_of(page) if z != pages.OFF]
+
+
+def test_class_names_neither_empty_the_article_nor_cut_topics_out_of_it():
+    article = "<article><p>one</p><p>two</p></article>"
+    for around in ('<div class="content has-sidebar">%s</div>', "<form id=aspnetForm><input>%s</form>", '<div class="site-header-wrap ad">%s</div>',
+                   '<div class="entry no-comments">%s</div>', "<form><div class=notice-board>%s</div></form>"):
+        assert kept("<nav>menu</nav>" + around % article + "<p class=copyright>c</p>") == ["one", "two"], around
+    inside = "<article><h1>h</h1>%s<p>end</p></article>"
+    for named in ('<div id="legal-history">text</div>', '<p class="social-science">text</p>', '<p class="share-price">text</p>',
+                  '<section class="no-comments">text</section>'):
+        assert kept(inside % named) == ["h", "text", "end"], named
+    for named in ('<div class="ad">text</div>', '<div class="share-buttons">text</div>', '<ul id="nav-menu"><li>text</ul>',
+                  '<div class="related-links">text</div>', "<form>text</form>"):
+        assert kept(inside % named) == ["h", "end"], named
+    # readers' comments marked up as articles, and a page that stands in a form as a whole
+    assert kept(article + '<div id=comments><article class=comment><p>me</p></article></div>') == ["one", "two"]
+    assert kept(article + '<article class="comment"><p>me</p></article>') == ["one", "two"]
+    assert kept("<p>top</p><form><p>the text of the page</p><p>more of it</p></form>") == ["top", "the text of the page", "more of it"]
+    assert kept("<p>the text of the page</p><form><p>mail</p></form>") == ["the text of the page"]
+
+
+def test_quotes_and_short_comments():
+    assert kept("<p>a</p><a title=it's>b</a><p>c</p><i title='x'>d</i>") == ["a", "b", "c", "d"]
+    assert kept("<p>a<!-->b</p><p>c<!--->d</p><p>e<!-- > -->f") == ["ab", "cd", "ef"]
+    assert kept('<p title="a>b">t</p><p title = \'x"y>\'>u') == ["t", "u"]
+
+
+def test_repeated_lines_are_aligned_in_time():
+    start = time.perf_counter()
+    assert len(pages.common_lines([1, 2] * 6000, [2, 1, 3] * 4000)) >= 6000
+    assert time.perf_counter() - start < 20
+
+
+def test_rows_of_one_id_with_other_markup_are_pages_of_their_own(spark):
+    rows = [(1, "http://h.example/1", page("<p>Welcome to us</p><p>x</p>")), (1, "http://h.example/1", page("<p>a</p><p>b</p><p>c</p>")),
+            (2, "http://h.example/2", page("<p>z</p>")), (2, "http://h.example/2", page("<p>z</p>"))]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.text for r in got if r.page_id == 1} >= {"a\nb\nc"}
+    assert len(got) == 4 and len({r.text for r in got if r.page_id == 2}) == 1
