@@ -54,6 +54,7 @@ ROUNDS = 4
 WITNESSES, DISGUISED, PLAIN, HARD = 4000, 300, 2500, 1500
 THRESHOLD = 0.3
 COST = 5.0
+COLUMNS = 64          # landmarks whose table is held at a time
 MEMO = 1 << 19        # words remembered by a Python worker
 
 LOOKALIKE = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t",
@@ -158,6 +159,13 @@ def _landmark_table(landmarks: list[str]) -> np.ndarray:
     return table
 
 
+def _kernels(words: list[str], landmarks: list[str]) -> np.ndarray:
+    """Kernels of words with landmarks; the table of a few landmarks is held at
+    a time."""
+    return np.hstack([kernel_sums(words, _landmark_table(landmarks[a:a + COLUMNS]))
+                      for a in range(0, len(landmarks), COLUMNS)])
+
+
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float) -> np.ndarray:
     """Primal linear SVM with squared hinge loss, by Newton steps; the last
     coefficient is the intercept."""
@@ -212,6 +220,8 @@ class Model:
 
     def raw(self, words: list[str]) -> np.ndarray:
         """The machine's decision on each (cleaned) word."""
+        if len(words) > 20_000:
+            return np.concatenate([self.raw(words[a:a + 20_000]) for a in range(0, len(words), 20_000)])
         split = [parts(w) for w in words]
         flat = [p for ps in split for p in ps]
         sums = kernel_sums(flat, self.table)[:, 0] + self.intercept
@@ -232,18 +242,22 @@ def _witnesses_by_grams(toxic: list[set[str]], plain: list[set[str]], least: flo
     def grams(word):
         marked = f"^{word}$"
         return {marked[i:i + n] for n in (4, 5) for i in range(len(marked) - n + 1)}
-    of = {w: grams(w) for w in set().union(*toxic)}
-    bad = Counter(g for d in toxic for g in set().union(*map(of.__getitem__, d)))
-    bad = Counter({g: n for g, n in bad.items() if n >= least})
-    of = {w: gs & bad.keys() for w, gs in of.items()}
-    none: set[str] = set()
-    also = {w: gs for w in set().union(*plain) if (gs := grams(w) & bad.keys())}
-    good = Counter(g for d in plain for g in none.union(*(also.get(w, none) for w in d)))
+
+    def per_document(bags, of):
+        """How many bags hold each group; a bag's groups are held at a time."""
+        counts: Counter = Counter()
+        for bag in bags:
+            counts.update(set().union(*map(of, bag)))
+        return counts
+
+    bad = Counter({g: n for g, n in per_document(toxic, grams).items() if n >= least})
+    good = per_document(plain, lambda w: grams(w) & bad.keys())
     share = len(toxic) / max(1, len(plain))
     value = {g: (n - good[g] * share) / np.sqrt(good[g] * share + 1) for g, n in bad.items()}
+    best = {w: max((value[g] for g in grams(w) if g in value), default=0.0) for w in set().union(*toxic)}
     out = []
     for d in toxic:
-        scored = [(max((value[g] for g in of[w]), default=0.0), w) for w in sorted(d)]
+        scored = [(best[w], w) for w in sorted(d)]
         bar = max([least, *(v / 4 for v, _ in scored)])
         out.append([w for v, w in scored if v >= bar])
     return out if any(out) else [sorted(d) for d in toxic]
@@ -263,8 +277,10 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
     """Fit on (text, label) rows; None if a class is missing."""
     rng = np.random.default_rng(seed)
     bags: dict[int, list[set[str]]] = {0: [], 1: []}
+    known: dict[str, str] = {}     # equal words are one object
     for text, label in rows:
-        bags[label].append({c for s in sentences(text) for t in tokens(s) if len(c := clean(t)) >= 3})
+        bags[label].append({known.setdefault(c, c) for s in sentences(text) for t in tokens(s) if len(c := clean(t)) >= 3})
+    del known
     toxic, plain = [b for b in bags[1] if b], bags[0]
     if not toxic or not any(plain):
         return None
@@ -299,16 +315,17 @@ def fit(rows: list[tuple[str, int]], seed: int = 7) -> Model | None:
         marks |= dict.fromkeys(p for p in x_good[:LANDMARKS // 4] if p not in marks)
         rest = [p for p in reversed(x_good) if p not in marks]
         marks = list(marks) + list(dict.fromkeys(rest))[:LANDMARKS - len(marks)]
-        table = _landmark_table(marks)
-        values, vectors = np.linalg.eigh(kernel_sums(marks, table))
+        values, vectors = np.linalg.eigh(_kernels(marks, marks))
         keep = values > 1e-5 * values[-1]
         whiten = vectors[:, keep] / np.sqrt(values[keep])     # Nyström features
-        x = kernel_sums([*x_bad, *x_good], table) @ whiten
+        x = _kernels([*x_bad, *x_good], marks) @ whiten
         y = np.concatenate((np.ones(len(x_bad)), -np.ones(len(x_good))))
         weight = np.concatenate(([counts.get(w, 1) for w in bad], n_good)).astype(np.float64)
         weight[:len(x_bad)] *= 3
         w = _svm(x, y, weight, COST)
-        model = Model((table @ (whiten @ w[:-1]).astype(np.float32))[:, None], float(w[-1]), 1.0, 0.0)
+        share_of = (whiten @ w[:-1]).astype(np.float32)
+        table = sum(_landmark_table(marks[a:a + COLUMNS]) @ share_of[a:a + COLUMNS] for a in range(0, len(marks), COLUMNS))
+        model = Model(table[:, None], float(w[-1]), 1.0, 0.0)
         # the clean documents' worst words, and the toxic documents' witnesses again
         scores = model.raw(often_used)
         loss = np.maximum(scores + 1, 0) * np.fromiter((uses[w] for w in often_used), float, len(often_used))
