@@ -2,12 +2,15 @@
 
 Rules are data: when the site changes, pass new ``ParsedLayout`` values
 instead of changing code.  The "not available" element and the second
-"contact" element have no class of their own; they are found by their place
-below the price container (``>`` child, ``:nth(n)`` n-th child of its tag).
+"contact" element have no class of their own, and sellers of other lists have
+the same class as those of the price list; they are found by their place below
+the price container (``>`` child, ``:nth(n)`` n-th child of its tag).
 """
 
 from __future__ import annotations
 
+import dataclasses
+
 from ratelens.operators.extract import NativeLayout, ParsedLayout, Test
 from ratelens.operators.parsed import classes
 
@@ -26,6 +29,8 @@ _SECTION = (f"{PRICE_CONTAINER} > c-wiz%s > c-wiz > div > div > div > div > div
 NOT_AVAILABLE_PLACES = (_SECTION % "" + " > c-wiz > div:nth(1) > div > div",
                         _SECTION % ":nth(1)" + " > c-wiz > div:nth(1)")
 CONTACT_PLACE = _SECTION % ":nth(1)" + " > div:nth(1) > div:nth(1) > div:nth(1)"
+# Fixed value: place of the seller list below the price container.
+PRICE_LIST_PLACE = _SECTION % "" + " > div > div > div:nth(2)"
 SEARCHED_OUT_PLACE = "#dwrFZd0 > div > div:nth(2) > div:nth(1)"
 SEARCHED_IN_PLACE = "#dwrFZd0 > div > div:nth(1) > div:nth(1)"
 LISTING_BLOCK = "div.ADs2Tc"
@@ -48,14 +53,17 @@ LISTING_PAGE = ParsedLayout(
                   ("total_price", f"{LISTING_FEES} >> {FEE_BLOCK_TOTAL}")),
 )
 
-DEFAULT_LAYOUTS = (DETAIL_PAGE, LISTING_PAGE)
+# Sellers and prices of the list at its known place, on either page; where the
+# page has no element there, the rules above read its whole container.
+LISTED_PRICES = dataclasses.replace(DETAIL_PAGE, layout=0, scope=PRICE_LIST_PLACE, present=(PRICE_LIST_PLACE,))
+
+DEFAULT_LAYOUTS = (DETAIL_PAGE, LISTING_PAGE, LISTED_PRICES)  # tried in the order of ``layout``
 
 
 # ---- rules as files -------------------------------------------------------
 
 def dump_layouts(layouts) -> str:
     """JSON text of a rule set (``ParsedLayout`` or ``NativeLayout`` values)."""
-    import dataclasses
     import json
 
     out = []

@@ -6,14 +6,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from golden import LAYOUTS, PAGES
+from golden import LAYOUTS, PAGES, price, seller
 from ratelens.functions.html import decode_references, visible_text
 from ratelens.operators.elements import containing, elements, folded, matched, tokens
 from ratelens.operators.fields import block_fields, extract_elements, place_flags, rule_winners, scoped_texts
 from ratelens.operators.parsed import Path, parse_page
 from ratelens.plans.layouts import DEFAULT_LAYOUTS, NOT_AVAILABLE_PLACES
 from ratelens.plans.rateshop import run_rate_shop
-from test_defaults import CONTACT, PAGE_CASES, SOLD_OUT, captures, requests
+from test_defaults import CONTACT, PAGE_CASES, SOLD_OUT, captures, nested, prices_page, requests
 
 
 def pages_df(spark, pages):
@@ -90,6 +90,17 @@ def test_rules_on_elements_equal_the_parser(spark):
             assert got[k] == (want and {f: want[f] for f in got[k]}), k
 
 
+def test_default_rules_read_the_price_list_at_its_place(spark):
+    other = seller("Elsewhere") + price("$9")
+    listed = nested("<div>filters</div><div>" + seller("A") + price("$1") + "</div>", ["c-wiz", "div", "div"])
+    pages = {"listed": prices_page(other + f"<section><div>head</div><div>{listed}</div></section>" + other),
+             "elsewhere_only": prices_page(f"<section><div>head</div></section>{other}")}
+    got = {r.page_id: (r.page.names, r.page.prices, r.page.layout) for r in
+           extract_elements(pages_df(spark, pages), DEFAULT_LAYOUTS, ["page_id"]).collect()}
+    assert got == {"listed": (["A"], ["$1"], 0), "elsewhere_only": (["Elsewhere"], ["$9"], 1)}
+    assert all(parse_page(h, DEFAULT_LAYOUTS)["names"] == got[k][0] for k, h in pages.items())
+
+
 def test_default_rules_run_without_python(spark):
     out = run_rate_shop(requests(spark, PAGE_CASES), captures(spark, {k: v[0] for k, v in PAGE_CASES.items()}),
                         DEFAULT_LAYOUTS, "2024-05-01", cut_lineage=False)
