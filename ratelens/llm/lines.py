@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FEW_PAGES, FEW_SHARE = 10, 0.3
+
 BLANKS = " \t\n\r\f\u000b"
 
 
@@ -46,9 +48,11 @@ def line_frequencies(docs: DataFrame, host_col: str, text_col: str) -> DataFrame
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text",
                 ratio: float = 0.02, min_pages: int = 3) -> DataFrame:
     """``(host, key, pages, total)`` of the lines on more than ``ratio`` of
-    their host's distinct pages and on at least ``min_pages`` of them."""
+    their host's distinct pages and on at least ``min_pages`` of them; on
+    ``FEW_PAGES`` at least, or else on ``FEW_SHARE`` of the pages."""
+    many = (F.col("pages") >= FEW_PAGES) | (F.col("pages") >= F.lit(FEW_SHARE) * F.col("total"))
     return (line_frequencies(docs, host_col, text_col)
-            .where((F.col("pages") > F.lit(ratio) * F.col("total")) & (F.col("pages") >= min_pages)))
+            .where((F.col("pages") > F.lit(ratio) * F.col("total")) & (F.col("pages") >= min_pages) & many))
 
 
 def drop_boilerplate(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source",

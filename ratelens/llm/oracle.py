@@ -10,7 +10,7 @@ LLM_ORACLE_SQL: dict[str, str] = {
         uses AS (SELECT DISTINCT source, body, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k FROM part),
         freq AS (SELECT u.source, u.k, count(*) AS pages FROM uses u WHERE u.k <> '' GROUP BY u.source, u.k),
         boil AS (SELECT f.source, f.k FROM freq f JOIN total t ON f.source IS NOT DISTINCT FROM t.source
-                 WHERE f.pages > 0.02 * t.total AND f.pages >= 3),
+                 WHERE f.pages > 0.02 * t.total AND f.pages >= 3 AND (f.pages >= 10 OR f.pages >= 0.3 * t.total)),
         numbered AS (SELECT source, body, unnest(string_split(body, chr(10))) AS line,
                             generate_subscripts(string_split(body, chr(10)), 1) AS pos FROM page),
         marked AS (SELECT n.*, b.k IS NOT NULL AS gone,
