@@ -36,7 +36,7 @@ def test_every_request_exactly_once(spark, pages, missing):
     caps = spark.createDataFrame(
         [(f"r{i}", i, "u", h, dt.datetime(2024, 1, 1)) for i, h in enumerate(pages)],
         "request_id string, page_id bigint, url string, html string, captured_at timestamp_ntz")
-    out = run_rate_shop(_requests(spark, n), caps, LAYOUTS, "2024-05-01", cut_lineage=False)
+    out = run_rate_shop(_requests(spark, n), caps, LAYOUTS, "2024-05-01", engine="parser", cut_lineage=False)
     outcomes = out.outcomes.select("request_id", "status", "n_offers").collect()
     assert sorted(r.request_id for r in outcomes) == sorted(f"r{i}" for i in range(n))
     offers = out.offers.collect()
@@ -61,10 +61,10 @@ def test_chunked_runs_union_to_whole_run(spark, pages, size):
         [(f"r{i}", i, "u", h, None) for i, h in enumerate(pages)],
         "request_id string, page_id bigint, url string, html string, captured_at timestamp_ntz")
     req = with_chunk_id(_requests(spark, len(pages)), ["request_id"], size)
-    whole = run_rate_shop(req, caps, LAYOUTS, "2024-05-01", cut_lineage=False).offers
+    whole = run_rate_shop(req, caps, LAYOUTS, "2024-05-01", engine="parser", cut_lineage=False).offers
     parts = None
     for (c,) in req.select("chunk_id").distinct().collect():
-        part = run_rate_shop(req.filter(F.col("chunk_id") == c), caps, LAYOUTS, "2024-05-01",
+        part = run_rate_shop(req.filter(F.col("chunk_id") == c), caps, LAYOUTS, "2024-05-01", engine="parser",
                              cut_lineage=False, captured_only=False).offers
         parts = part if parts is None else parts.unionByName(part)
     assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
