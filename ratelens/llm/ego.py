@@ -246,8 +246,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     usable = F.coalesce(~bad, F.lit(False)) & F.col("id").isNotNull()
     # -0.0 and 0.0 are equal components; the largest magnitude becomes 1
     rows = (rows.select("id", F.when(usable, F.col("vec")).alias("vec"))
-            .withColumn("top", F.array_max(F.transform("vec", F.abs)))
-            .select("id", F.transform("vec", lambda x: x / F.col("top") + F.lit(0.0)).alias("vec")))
+            .select("id", F.zip_with("vec", F.array_repeat(F.array_max(F.transform("vec", F.abs)), F.size("vec")),
+                                     lambda x, top: x / top + F.lit(0.0)).alias("vec")))  # the maximum once a vector
     # equal vectors once; 128 bits stand for a vector where its rows are found again
     rows = rows.withColumn("k1", F.xxhash64("vec")).withColumn("k2", F.xxhash64(F.lit(1), "vec"))
     distinct = cut_lineage(rows.where("vec IS NOT NULL").groupBy("k1", "k2").agg(
