@@ -19,8 +19,11 @@ expression; everything about nesting is a running sum over a page's tokens:
 
 The rows of a page meet by one shuffle, of the tokens by page; every window and
 grouping after it has that partitioning, and nothing is joined back, so the
-tokens are made once.  A page is read by one task whatever its length, as its
-markup is in one row before.  The page number is not the key: a row of the
+tokens are made once.  There are so many partitions that each has ``IN_TASK`` of
+markup, whatever the size of the table: some 15 windows sort a task's tokens, and
+shuffle files, by whose size Spark would deal them, are many times smaller.
+The markup is read once more for that, when ``tokens`` is called.  A page is read
+by one task whatever its length, as its markup is in one row before.  The page number is not the key: a row of the
 input is, so repeated ids never mix.
 
 Defined results: NULL markup has one token without text; void elements contain
@@ -60,6 +63,8 @@ _TEXT = r"[^<]*+(?:<(?![a-z/!?])[^<]*+)*+"
 _TOKEN = f"(?is){_MARK}{_TEXT}"
 _ATTRIBUTE = r"""(?s)\s([^\s=/>"']+)(?:\s*=\s*("[^"]*+"|'[^']*+'|[^\s>]*+))?"""
 _HIDDEN_STYLE = r"(?i)display\s*:\s*none|visibility\s*:\s*hidden"
+# bytes of markup in a task, a tag counted as so many more
+IN_TASK, A_TAG = 12 << 20, 45
 # characters that separate the parts of a label never stand inside one
 _APART, _HELD = "/#.[]{}", "" * 7
 
@@ -71,6 +76,13 @@ def _attribute(names: Column, values: Column, name: str) -> Column:
     return F.when(at > 0, F.regexp_replace(quoted, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
 
+def _tasks(df: DataFrame, html_col: str) -> int:
+    """How many tasks the markup is dealt to, not fewer than there are cores."""
+    size = F.octet_length(html_col).cast("long") + A_TAG * F.regexp_count(html_col, F.lit("<"))
+    total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return max(-(-total // IN_TASK), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def tokens(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_id",),
            attrs: Sequence[str] = ()) -> DataFrame:
     """One row per token: ``_row`` (of the input), ``keep`` columns, ``pos``,
@@ -100,7 +112,8 @@ def tokens(df: DataFrame, html_col: str = "html", keep: Sequence[str] = ("page_i
                     F.concat(F.lit("."), F.btrim(listed, F.lit(".")), F.lit(".")).alias("classes"),
                     (F.col("tag").isin(*INVISIBLE) | F.array_contains("_names", "hidden")
                      | F.coalesce(F.col("@style").rlike(_HIDDEN_STYLE), F.lit(False))).alias("hidden"),
-                    "text", *[f"@{n}" for n in attrs]))
+                    "text", *[f"@{n}" for n in attrs])
+            .repartition(_tasks(df, html_col), "_row"))
 
 
 def _running(*partition: str, order: Sequence[str] = ("pos",)):

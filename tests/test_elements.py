@@ -2,6 +2,7 @@
 engine on top of them, against plain Python."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -165,3 +166,15 @@ def test_references_and_quoted_signs(spark):
         assert r.got == r.want and r.f == "a b\nc"
     shown = spark.createDataFrame([('<b title="x>y">t &#233;</b>&nbsp;',)], "s string").select(visible_text("s").alias("t")).first()
     assert shown.t == "t é"
+
+
+def test_a_task_holds_a_bounded_amount_of_markup(spark, monkeypatch):
+    from ratelens.operators import elements as module
+    page = "<ul>" + "<li class='a'>item</li>" * 50 + "</ul>"
+    df = spark.range(120).select(F.col("id").alias("page_id"), F.lit(page).alias("html")).coalesce(1)
+    monkeypatch.setattr(module, "IN_TASK", 4 * (len(page) + module.A_TAG * page.count("<")))
+    rows = elements(tokens(df)).select("_row", F.spark_partition_id().alias("task")).distinct().collect()
+    tasks = Counter(r.task for r in rows)
+    assert len(rows) == 120 and len(tasks) >= 20 and max(tasks.values()) <= 15
+    assert module._tasks(df.limit(0), "html") == module._tasks(df.select(F.lit(None).cast("string").alias("html")), "html") \
+        == spark.sparkContext.defaultParallelism
